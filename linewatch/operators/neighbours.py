@@ -25,6 +25,7 @@ from linewatch.schema import quoted
 from linewatch.session import materialise
 
 CHUNK_ROWS = 2048
+SEGMENTS = 64
 CHUNK = ["label", "cell", "chunk"]
 FOUND_SCHEMA = "label string, id bigint, neighbour bigint, d2 double"
 
@@ -45,18 +46,14 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
         F.array(*[F.col(quoted(f)).cast("double") for f in features]).alias("x"),
         sum(terms[1:], terms[0]).alias("p"),
     )
-    # One row per class: the middle range of the projection and its cell width.
-    ends = placed.groupBy("label").agg(
-        F.percentile_approx("p", [0.01, 0.99], 1000).alias("ends"), F.count(F.lit(1)).alias("rows")
+    # One row per class: percentiles of the projection, and how finely to cut
+    # between two of them so that a cell holds about one chunk.
+    shares = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    grid = placed.groupBy("label").agg(
+        F.percentile_approx("p", shares, 10 * SEGMENTS).alias("bounds"),
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * SEGMENTS))).alias("cuts"),
     )
-    grid = ends.select(
-        "label",
-        F.col("ends")[0].alias("low"),
-        F.greatest(F.lit(1.0), F.ceil(F.col("rows") / chunk_rows).cast("double")).alias("cells"),
-        (F.col("ends")[1] - F.col("ends")[0]).alias("range"),
-    ).withColumn("step", F.col("range") / F.col("cells"))
-    placed = placed.join(F.broadcast(grid.drop("range")), "label")
-    placed = placed.withColumn("cell", _cell(F.col("p")))
+    placed = placed.join(F.broadcast(grid), "label").withColumn("cell", _cell(F.col("p")))
     sizes = placed.groupBy("label", "cell").agg(
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks")
     )
@@ -67,9 +64,12 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
 
 def _cell(p: Column) -> Column:
     """Cell number along the projection; the outer cells reach to infinity."""
-    at = F.when(F.col("step") > 0, F.floor((p - F.col("low")) / F.col("step"))).otherwise(F.lit(0))
-    last = F.col("cells").cast("bigint") - 1
-    return F.greatest(F.lit(0), F.least(at.cast("bigint"), last)).cast("bigint")
+    reached = F.size(F.filter("bounds", lambda b: b <= p))
+    segment = F.greatest(F.lit(1), F.least(reached, F.lit(SEGMENTS)))
+    low, high = F.get("bounds", segment - 1), F.get("bounds", segment)
+    cut = F.floor((p - low) / (high - low) * F.col("cuts")).cast("bigint")
+    inside = F.greatest(F.lit(0), F.least(cut, F.col("cuts") - 1))
+    return (segment - 1) * F.col("cuts") + F.when(high > low, inside).otherwise(F.lit(0))
 
 
 def _search(requests: DataFrame, members: DataFrame, k: int, chunk_rows: int) -> DataFrame:
@@ -143,15 +143,15 @@ def nearest_neighbours(
     # A hair wider than the bound, for the rounding of the projection.
     slack = F.lit(1e-9) * (F.abs(F.col("p")) + 1)
     radius = F.when(F.col("n") >= k, F.sqrt("d2") + slack).otherwise(F.lit(math.inf))
+    unbounded = F.col("radius") == math.inf
     open_rows = (
         bases.join(reach, ["label", "id"], "left")
         .where(~F.coalesce((F.col("n") >= k) & (F.col("d2") == 0), F.lit(False)))
         .withColumn("radius", radius)
-        .withColumn("low_cell", F.when(F.col("radius") == math.inf, F.lit(0)).otherwise(_cell(F.col("p") - F.col("radius"))))
+        .withColumn("low_cell", F.when(unbounded, F.lit(0)).otherwise(_cell(F.col("p") - F.col("radius"))))
         .withColumn(
             "high_cell",
-            F.when(F.col("radius") == math.inf, F.col("cells").cast("bigint") - 1)
-            .otherwise(_cell(F.col("p") + F.col("radius"))),
+            F.when(unbounded, F.col("cuts") * SEGMENTS - 1).otherwise(_cell(F.col("p") + F.col("radius"))),
         )
     )
     chunks = placed.select(*CHUNK).distinct()

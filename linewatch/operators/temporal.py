@@ -88,13 +88,16 @@ def add_temporal_features(
     fill_order: str | None = None,
     bucket_rows: int = DEFAULTS.bucket_rows,
     rolling_rows: int = DEFAULTS.rolling_rows,
+    ahead: tuple[str, int, str] | None = None,
 ) -> DataFrame:
     """Sensors to numbers with gaps at the median, then ``_lag1``, ``_mean5`` and
     ``_std5`` for each; the other columns are filled forward, backward, then 0.
 
     All row windows share one exchange and one sort. With ``by``, ``order`` is the
     dense position inside the group and ``fill_order`` the one of the table.
-    Without any sensor column the frame is returned as it is.
+    ``ahead`` adds a look-ahead column (source, rows, name) in the same pass, and
+    rows that have none are left out of the fill. Without any sensor column the
+    frame is returned as it is.
     """
     sensors = present(df, sensors)
     if not sensors:
@@ -119,15 +122,24 @@ def add_temporal_features(
                 rolling_mean(x, w, rolling_rows).alias(f"{c}_mean5"),
                 rolling_std(x, w, rolling_rows).alias(f"{c}_std5"),
             ]
+        if ahead:
+            source, rows, name = ahead
+            made.append(F.lead(F.col(quoted(source)), rows).over(w).cast("int").alias(name))
         return [*[F.col(quoted(c)) for c in df.columns], *made]
 
+    reach = ahead[1] if ahead else 0
     featured = halo_select(
-        numbers, columns, rolling_rows - 1, 0, order, by, bucket_rows, keep_bucket=not by
+        numbers, columns, rolling_rows - 1, reach, order, by, bucket_rows, keep_bucket=not by
     )
+    source = df
+    if ahead:
+        featured = featured.where(F.col(quoted(ahead[2])).isNotNull())
+        last = df.agg(F.max(quoted(order))).scalar()
+        source = df.where(F.col(quoted(order)) <= last - reach)
     # Columns that cannot hold nulls need no fill.
     nullable = {f.name for f in df.schema.fields if f.nullable}
     gaps = [c for c in others if c in nullable and c not in (order, fill_order)]
-    filled = carry_fill(featured, gaps, fill_order, bucket_rows, source=df)
+    filled = carry_fill(featured, gaps, fill_order, bucket_rows, source=source)
     # A window of infinities alone has no mean and takes the last one before it.
     means = [f"{c}_mean5" for c in fit.infinite if c in sensors]
     return carry_fill(filled, means, fill_order, bucket_rows) if means else filled
