@@ -62,9 +62,9 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     "serving_features_o83",
     f"""with {RAW_SQL}, n as (select row_id, coalesce(try_cast(torque as double), 0) as torque,
         coalesce(try_cast(voltage as double), 0) as voltage, coalesce(machine, '-') as machine, line,
-        case when d_text = 'nan' then null else ts end as at from raw)
-      select row_id::double as row_id, coalesce(hour(at), 12)::double as hour, coalesce(isodow(at) - 1, 1)::double as dayofweek,
-        coalesce(month(at), 1)::double as month, (case when isodow(at) >= 6 then 1 else 0 end)::double as is_weekend,
+        case when d_text = 'nan' then null else ts end as moment from raw)
+      select row_id::double as row_id, coalesce(hour(moment), 12)::double as hour, coalesce(isodow(moment) - 1, 1)::double as dayofweek,
+        coalesce(month(moment), 1)::double as month, (case when isodow(moment) >= 6 then 1 else 0 end)::double as is_weekend,
         torque, torque as torque_lag1, torque as torque_mean5, 0.0::double as torque_std5,
         voltage, voltage as voltage_lag1, voltage as voltage_mean5, 0.0::double as voltage_std5, {DUMMY_SQL},
         0.0::double as absent from n""",

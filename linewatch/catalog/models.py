@@ -108,7 +108,7 @@ def oversample_wide(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SMALL = Settings(trees=(3, 5), depths=(2, 3), learning_rates=(0.1,))
+SMALL = Settings(trees=(2, 3), depths=(2,), learning_rates=(0.1,))
 
 
 def learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
@@ -142,7 +142,7 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
 @query("cross_validation_o78")
 def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     df, names = learning_table(spark, sf)
-    one = Settings(trees=(5,), depths=(3,), learning_rates=(0.1,))
+    one = Settings(trees=(2,), depths=(2,), learning_rates=(0.1,))
     result = grid_search(materialise(spark, df, "learn"), names, "label", "row_id", one)
     return spark.createDataFrame([(result.cv_mean, result.cv_std)], "cv_mean double, cv_std double")
 
@@ -214,7 +214,6 @@ def log(spark: SparkSession, sf: str) -> DataFrame:
             "drift_detected": F.when(F.col("row_id") % 5 == 0, True),
         }
     )
-    raw = raw.drop("Machine_ID").withColumn("assembly_line_no", F.col("Assembly_Line_No"))
     clock = F.to_timestamp(F.lit("2024-01-01 10:20:30"))
     out = scored_log(raw, ["row_id", SENSORS[0], "Date", "Timestamp"], clock)
     return out.toDF("row_id", "torque", "d", "t", "machine", "line", "downtime", "is_anomaly", "drift_detected")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -18,17 +18,26 @@ from linewatch.schema import CATEGORIES, GROUP, quoted
 MAX_CATEGORIES = 10_000
 
 
-def distinct_text(df: DataFrame, value: Column, what: str, limit: int = MAX_CATEGORIES) -> list[str]:
-    rows = df.select(value.alias("v")).distinct().limit(limit + 1).collect()
+def distinct_values(
+    df: DataFrame, values: Mapping[str, Column], limit: int = MAX_CATEGORIES
+) -> dict[str, list[str]]:
+    """The sorted distinct texts of several columns in one job."""
+    if not values:
+        return {}
+    items = [F.struct(F.lit(n).alias("name"), c.alias("value")) for n, c in values.items()]
+    rows = df.select(F.inline(F.array(*items))).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"{what} has more than {limit} distinct values")
-    return sorted(r.v for r in rows)
+        raise ValueError(f"{list(values)} have more than {limit} distinct values")
+    return {
+        n: sorted(r["value"] for r in rows if r["name"] == n and r["value"] is not None)
+        for n in values
+    }
 
 
 def fit_labels(df: DataFrame, target: str = GROUP) -> list[str]:
     """The sorted class names; a class id is a position in this list."""
     require(df, target)
-    return distinct_text(df, fill_label(F.col(quoted(target))), target)
+    return distinct_values(df, {target: fill_label(F.col(quoted(target)))})[target]
 
 
 def label_encode(
@@ -44,9 +53,9 @@ def category_text(c: Column) -> Column:
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> dict[str, list[str]]:
-    return {
-        c: distinct_text(df, category_text(F.col(quoted(c))), c) for c in present(df, columns)
-    }
+    return distinct_values(
+        df, {c: category_text(F.col(quoted(c))) for c in present(df, columns)}
+    )
 
 
 def one_hot_columns(df_columns: Sequence[str], categories: dict[str, list[str]]) -> list[str]:

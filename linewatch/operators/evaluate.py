@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark import keyword_only
 from pyspark.ml.evaluation import Evaluator
 from pyspark.sql import Column, DataFrame
@@ -58,6 +60,11 @@ def classification_report(counts: DataFrame) -> DataFrame:
     def weighted(m: str) -> Column:
         return _ratio(F.sum(F.col(m) * F.col("support")), total)
 
+    def average(name: str, of: Callable[[str], Column]) -> Column:
+        return F.struct(
+            F.lit(name).alias("class_name"), *[of(m).alias(m) for m in measures], total.alias("support")
+        )
+
     none = F.lit(None).cast("double")
     averages = scores.agg(
         F.array(
@@ -68,8 +75,8 @@ def classification_report(counts: DataFrame) -> DataFrame:
                 _ratio(F.sum("hits"), total).alias("f1"),
                 total.alias("support"),
             ),
-            F.struct(F.lit("macro avg"), *[F.avg(m) for m in measures], total),
-            F.struct(F.lit("weighted avg"), *[weighted(m) for m in measures], total),
+            average("macro avg", F.avg),
+            average("weighted avg", weighted),
         ).alias("rows")
     ).select(F.inline("rows"))
     return rows.unionByName(averages)

@@ -48,10 +48,12 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
     )
     # One row per class: percentiles of the projection, and how finely to cut
     # between two of them so that a cell holds about one chunk.
-    shares = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    most = df.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    segments = max(1, min(SEGMENTS, math.ceil(most / chunk_rows)))
+    shares = [i / segments for i in range(segments + 1)]
     grid = placed.groupBy("label").agg(
         F.percentile_approx("p", shares, 10 * SEGMENTS).alias("bounds"),
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * SEGMENTS))).alias("cuts"),
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * segments))).alias("cuts"),
     )
     placed = placed.join(F.broadcast(grid), "label").withColumn("cell", _cell(F.col("p")))
     sizes = placed.groupBy("label", "cell").agg(
@@ -65,7 +67,7 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
 def _cell(p: Column) -> Column:
     """Cell number along the projection; the outer cells reach to infinity."""
     reached = F.size(F.filter("bounds", lambda b: b <= p))
-    segment = F.greatest(F.lit(1), F.least(reached, F.lit(SEGMENTS)))
+    segment = F.greatest(F.lit(1), F.least(reached, F.size("bounds") - 1))
     low, high = F.get("bounds", segment - 1), F.get("bounds", segment)
     cut = F.floor((p - low) / (high - low) * F.col("cuts")).cast("bigint")
     inside = F.greatest(F.lit(0), F.least(cut, F.col("cuts") - 1))
@@ -114,6 +116,8 @@ def _search(requests: DataFrame, members: DataFrame, k: int, chunk_rows: int) ->
         )
 
     keys = [*CHUNK, "batch"]
+    # The two sides may stem from one table; new column identities tell them apart.
+    left = left.toDF(*left.columns)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(nearest, FOUND_SCHEMA)
 
 
@@ -151,7 +155,7 @@ def nearest_neighbours(
         .withColumn("low_cell", F.when(unbounded, F.lit(0)).otherwise(_cell(F.col("p") - F.col("radius"))))
         .withColumn(
             "high_cell",
-            F.when(unbounded, F.col("cuts") * SEGMENTS - 1).otherwise(_cell(F.col("p") + F.col("radius"))),
+            F.when(unbounded, F.col("cuts") * (F.size("bounds") - 1) - 1).otherwise(_cell(F.col("p") + F.col("radius"))),
         )
     )
     chunks = placed.select(*CHUNK).distinct()

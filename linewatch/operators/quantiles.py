@@ -52,9 +52,10 @@ def exact_percentiles(
     share: float,
     exact_rows: int = EXACT_ROWS,
     accuracy: int = SKETCH_ACCURACY,
+    counts: Mapping[str, int] | None = None,
 ) -> dict[str, float | None]:
     """The linearly interpolated ``share`` percentile per column, nulls left out;
-    ``None`` for a column without values."""
+    ``None`` for a column without values. ``counts`` saves counting the values."""
     if not isinstance(columns, Mapping):
         columns = {c: to_number(F.col(quoted(c))) for c in columns}
     if not columns:
@@ -62,8 +63,8 @@ def exact_percentiles(
     names = list(columns)
     frame = df.select(*[columns[n].alias(f"v{i}") for i, n in enumerate(names)])
     cols = {n: F.col(f"v{i}") for i, n in enumerate(names)}
-    counted = frame.agg(*[F.count(cols[n]) for n in names]).first()
-    counts = dict(zip(names, counted))
+    if counts is None:
+        counts = dict(zip(names, frame.agg(*[F.count(cols[n]) for n in names]).first()))
 
     short = [n for n in names if 0 < counts[n] <= exact_rows]
     result: dict[str, float | None] = dict.fromkeys(names)
@@ -129,7 +130,12 @@ def _narrow(frame: DataFrame, searches: list[_Search], accuracy: int) -> None:
             s.low, s.below, s.inside = b, s.below + passed, s.inside - passed
 
 
-def medians(df: DataFrame, columns: Sequence[str], exact_rows: int = EXACT_ROWS) -> dict[str, float]:
+def medians(
+    df: DataFrame,
+    columns: Sequence[str],
+    exact_rows: int = EXACT_ROWS,
+    counts: Mapping[str, int] | None = None,
+) -> dict[str, float]:
     """Column medians; 0 for a column without any number."""
-    found = exact_percentiles(df, columns, 0.5, exact_rows)
+    found = exact_percentiles(df, columns, 0.5, exact_rows, counts=counts)
     return {c: 0.0 if m is None else m for c, m in found.items()}

@@ -38,13 +38,11 @@ def create_future_target(
         ]
 
     ahead = halo_select(df, columns, 0, shift, order, by, bucket_rows)
-    if by:
-        any_label = ahead.agg(F.coalesce(F.bool_or(F.col(TARGET).isNotNull()), F.lit(False)))
-    else:
-        # Some row has a label exactly if a class sits at position >= shift.
-        labelled = F.col(quoted(target)).isNotNull() & (F.col(quoted(order)) >= shift)
-        any_label = df.agg(F.coalesce(F.bool_or(labelled), F.lit(False)))
-    return ahead.where(F.col(TARGET).isNotNull() | ~any_label.scalar())
+    # Some row has a label exactly if a class sits at position >= shift; the look
+    # stops at the first one.
+    classes_ahead = F.col(quoted(target)).isNotNull() & (F.col(quoted(order)) >= shift)
+    none = df.where(classes_ahead).select(F.lit(1)).isEmpty()
+    return ahead if none else ahead.where(F.col(TARGET).isNotNull())
 
 
 def lag_one(c: Column, fill: Column, w: WindowSpec) -> Column:
@@ -74,9 +72,16 @@ def fit_sensors(df: DataFrame, sensors: Sequence[str] = SENSORS) -> SensorFit:
     sensors = present(df, sensors)
     if not sensors:
         return SensorFit({})
-    infinite = [F.abs(to_number(F.col(quoted(c)))) == F.lit(math.inf) for c in sensors]
-    row = df.agg(*[F.bool_or(hit) for hit in infinite]).first()
-    return SensorFit(medians(df, sensors), tuple(c for c, hit in zip(sensors, row) if hit))
+    numbers = {c: to_number(F.col(quoted(c))) for c in sensors}
+    row = df.agg(
+        *[F.count(x) for x in numbers.values()],
+        *[F.bool_or(F.abs(x) == F.lit(math.inf)) for x in numbers.values()],
+    ).first()
+    counts, infinite = row[: len(sensors)], row[len(sensors) :]
+    return SensorFit(
+        medians(df, sensors, counts=dict(zip(sensors, counts))),
+        tuple(c for c, hit in zip(sensors, infinite) if hit),
+    )
 
 
 def add_temporal_features(
@@ -89,15 +94,16 @@ def add_temporal_features(
     bucket_rows: int = DEFAULTS.bucket_rows,
     rolling_rows: int = DEFAULTS.rolling_rows,
     ahead: tuple[str, int, str] | None = None,
+    fill_from: DataFrame | None = None,
 ) -> DataFrame:
     """Sensors to numbers with gaps at the median, then ``_lag1``, ``_mean5`` and
     ``_std5`` for each; the other columns are filled forward, backward, then 0.
 
     All row windows share one exchange and one sort. With ``by``, ``order`` is the
     dense position inside the group and ``fill_order`` the one of the table.
-    ``ahead`` adds a look-ahead column (source, rows, name) in the same pass, and
-    rows that have none are left out of the fill. Without any sensor column the
-    frame is returned as it is.
+    ``ahead`` adds a look-ahead column (source, rows, name) in the same pass and
+    drops the rows that have none; ``fill_from`` is then the table without them.
+    Without any sensor column the frame is returned as it is.
     """
     sensors = present(df, sensors)
     if not sensors:
@@ -131,14 +137,12 @@ def add_temporal_features(
     featured = halo_select(
         numbers, columns, rolling_rows - 1, reach, order, by, bucket_rows, keep_bucket=not by
     )
-    source = df
     if ahead:
         featured = featured.where(F.col(quoted(ahead[2])).isNotNull())
-        last = df.agg(F.max(quoted(order))).scalar()
-        source = df.where(F.col(quoted(order)) <= last - reach)
     # Columns that cannot hold nulls need no fill.
     nullable = {f.name for f in df.schema.fields if f.nullable}
     gaps = [c for c in others if c in nullable and c not in (order, fill_order)]
+    source = df if fill_from is None else fill_from
     filled = carry_fill(featured, gaps, fill_order, bucket_rows, source=source)
     # A window of infinities alone has no mean and takes the last one before it.
     means = [f"{c}_mean5" for c in fit.infinite if c in sensors]
