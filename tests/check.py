@@ -17,6 +17,16 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp": "TIMESTAMP",
+}
+
+
 def connect(sf: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
@@ -51,6 +61,9 @@ def compare(spark, con, name: str, query, sql: str | None, sf: str) -> tuple[boo
     if sorted(columns) != sorted(df.columns):
         return False, f"{name}: columns {sorted(df.columns)} != {sorted(columns)}"
     types = dict(zip(columns, [str(d[1]) for d in result.description]))
+    odd = {c: (t, types[c]) for c, t in df.dtypes if SQL_TYPES.get(t) != types[c]}
+    if odd:
+        return False, f"{name}: types differ {odd}"
     got, want = rows_of(df.columns, got_rows), rows_of(columns, want_rows)
     if got == want:
         return True, f"{name}: equal, {len(got)} rows, {took:.1f}s"
