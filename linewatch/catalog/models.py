@@ -25,12 +25,18 @@ from linewatch.config import Settings
 from linewatch.functions.labels import best_class, class_probabilities, confidence, downtime_group
 from linewatch.operators.anomaly import fit_mahalanobis
 from linewatch.operators.board import latest_predictions
-from linewatch.operators.drift import detect_drift, detector_states, warm_detectors
+from linewatch.operators.drift import (
+    DEFAULT_STATS,
+    detect_drift,
+    detector_states,
+    warm_detectors,
+)
 from linewatch.operators.encode import Scaler
 from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.ordering import dense_index
 from linewatch.operators.resample import smote
 from linewatch.operators.score import prediction_record, scored_log
+from linewatch.operators.stats import reference_statistics
 from linewatch.operators.train import assemble, boosted_trees, grid_search, predict
 from linewatch.plans.features import POSITION, feature_table
 from linewatch.schema import TARGET
@@ -242,6 +248,10 @@ def small_bundle(spark: SparkSession, sf: str) -> Bundle:
             scaler=scaler,
             anomaly=fit_mahalanobis(scaled, made.features),
             drift_states=detector_states(warm_detectors(scaled, made.features, order=POSITION)),
+            reference_stats={
+                r["feature"]: {s: r[s] for s in DEFAULT_STATS}
+                for r in reference_statistics(scaled, made.features).collect()
+            },
             model=boosted_trees(TARGET, trees=2, depth=2).fit(data),
         )
         save_bundle(spark, fitted, path)

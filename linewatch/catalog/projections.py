@@ -16,14 +16,13 @@ from linewatch.catalog.base import (
     table,
 )
 from linewatch.functions.labels import downtime_group, fill_label
-from linewatch.functions.numbers import finite_or_zero, metric_name, to_number
+from linewatch.functions.numbers import finite_or_zero, metric_name, number_of
 from linewatch.functions.times import parse_clock, parse_mixed_date
 from linewatch.operators.board import status_rows
 from linewatch.operators.calendar import add_calendar_features, reconstruct_datetime
 from linewatch.operators.columns import align, drop_unused
 from linewatch.operators.encode import label_encode, one_hot
 from linewatch.operators.temporal import add_temporal_features, create_future_target
-from linewatch.schema import quoted
 
 GENERIC_SQL = (
     "['%Y-%m-%d', '%m/%d/%Y', '%d/%m/%Y', '%m-%d-%Y', '%d-%m-%Y', '%Y/%m/%d', '%Y%m%d', "
@@ -145,10 +144,9 @@ def align_columns(spark: SparkSession, sf: str) -> DataFrame:
       try_cast(voltage as double) as voltage from raw""",
 )
 def coerce(spark: SparkSession, sf: str) -> DataFrame:
-    return machine_events(spark, sf).select(
-        "row_id",
-        to_number(F.col(quoted(TORQUE))).alias("torque"),
-        to_number(F.col(quoted(VOLTAGE))).alias("voltage"),
+    raw = machine_events(spark, sf)
+    return raw.select(
+        "row_id", number_of(raw, TORQUE).alias("torque"), number_of(raw, VOLTAGE).alias("voltage")
     )
 
 

@@ -30,6 +30,7 @@ from linewatch.operators.ordering import (
     halo_select,
     rising_edge,
 )
+from linewatch.operators.quantiles import medians
 from linewatch.operators.split import raw_split, sample_rows, stratified_folds, train_test_split
 from linewatch.operators.temporal import (
     add_temporal_features,
@@ -101,9 +102,14 @@ def future_target_by(spark: SparkSession, sf: str) -> DataFrame:
 )
 def lag(spark: SparkSession, sf: str) -> DataFrame:
     df = numbers(spark, sf)
-    median = df.agg(F.median("s1")).scalar()
-    placed = halo_select(df, lambda w: ["row_id", F.lag("s1").over(w).alias("lag1")], 1, 0, bucket_rows=BUCKET_ROWS)
-    return placed.select("row_id", F.coalesce("lag1", median).alias("lag1"))
+    median = F.lit(medians(df, ["s1"])["s1"])
+    return halo_select(
+        df,
+        lambda w: ["row_id", lag_one(F.col("s1"), median, w).alias("lag1")],
+        1,
+        0,
+        bucket_rows=BUCKET_ROWS,
+    )
 
 
 @query(

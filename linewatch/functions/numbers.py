@@ -4,16 +4,35 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from linewatch.schema import quoted
+
+
+# What a number looks like as text. Other text is not parsed at all: a failed
+# parse costs far more than the look at its shape.
+NUMBER_TEXT = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf(inity)?)\s*$"
 
 
 def to_number(c: Column) -> Column:
-    """Text or number to double; what does not parse, and NaN, becomes null."""
-    x = c.try_cast("double")
+    """Number to double, NaN to null."""
+    x = c.cast("double")
     return F.when(~F.isnan(x), x)
 
 
+def text_to_number(c: Column) -> Column:
+    """Text to double; what does not parse, and NaN, becomes null."""
+    return F.when(c.rlike(NUMBER_TEXT), c.try_cast("double"))
+
+
+def number_of(df: DataFrame, name: str) -> Column:
+    """A column of any type as a number."""
+    c, kind = F.col(quoted(name)), df.schema[name].dataType
+    return text_to_number(c) if isinstance(kind, T.StringType) else to_number(c)
+
+
 def is_finite(c: Column) -> Column:
     """True for a double that is neither null, NaN nor infinite."""
     return F.coalesce(~F.isnan(c) & (F.abs(c) != F.lit(math.inf)), F.lit(False))
@@ -28,9 +47,9 @@ def finite_or_null(c: Column) -> Column:
     return F.when(is_finite(c), c)
 
 
-def number_or_zero(c: Column) -> Column:
-    """Any column (text, boolean, number) as a finite double, 0 where it is none."""
-    return finite_or_zero(c.try_cast("double"))
+def number_or_zero(df: DataFrame, name: str) -> Column:
+    """A column of any type as a finite double, 0 where it is none."""
+    return finite_or_zero(number_of(df, name))
 
 
 def metric_name(c: Column) -> Column:

@@ -36,6 +36,6 @@ def align_numeric(df: DataFrame, reference: Sequence[str], keep: Sequence[str] =
     """:func:`align` with every feature coerced to a finite double."""
 
     def feature(c: str) -> Column:
-        return number_or_zero(F.col(quoted(c))) if c in df.columns else F.lit(0.0)
+        return number_or_zero(df, c) if c in df.columns else F.lit(0.0)
 
     return df.select(*[F.col(quoted(c)) for c in keep], *[feature(c).alias(c) for c in reference])

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linewatch.functions.numbers import stable_hash
+from linewatch.operators.encode import MAX_CATEGORIES
 from linewatch.operators.stats import mean_and_covariance
 from linewatch.schema import quoted
 from linewatch.session import materialise
@@ -48,14 +49,16 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
     )
     # One row per class: percentiles of the projection, and how finely to cut
     # between two of them so that a cell holds about one chunk.
-    most = df.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+    most, classes = df.groupBy("label").count().agg(F.max("count"), F.count("count")).first()
+    most = most or 0
     segments = max(1, min(SEGMENTS, math.ceil(most / chunk_rows)))
     shares = [i / segments for i in range(segments + 1)]
     grid = placed.groupBy("label").agg(
         F.percentile_approx("p", shares, 10 * SEGMENTS).alias("bounds"),
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * segments))).alias("cuts"),
     )
-    placed = placed.join(F.broadcast(grid), "label").withColumn("cell", _cell(F.col("p")))
+    grid = F.broadcast(grid) if classes <= MAX_CATEGORIES else grid
+    placed = placed.join(grid, "label").withColumn("cell", _cell(F.col("p")))
     sizes = placed.groupBy("label", "cell").agg(
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks")
     )

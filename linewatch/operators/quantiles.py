@@ -17,11 +17,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linewatch.functions.numbers import to_number
-from linewatch.schema import quoted
+from linewatch.functions.numbers import number_of
 
+# A column goes to the exact aggregate if it has at most this many rows, or about
+# half as many distinct values.
 EXACT_ROWS = 100_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 1000
 
 
 @dataclass
@@ -57,7 +58,7 @@ def exact_percentiles(
     """The linearly interpolated ``share`` percentile per column, nulls left out;
     ``None`` for a column without values. ``counts`` saves counting the values."""
     if not isinstance(columns, Mapping):
-        columns = {c: to_number(F.col(quoted(c))) for c in columns}
+        columns = {c: number_of(df, c) for c in columns}
     if not columns:
         return {}
     names = list(columns)
@@ -65,14 +66,18 @@ def exact_percentiles(
     cols = {n: F.col(f"v{i}") for i, n in enumerate(names)}
     if counts is None:
         counts = dict(zip(names, frame.agg(*[F.count(cols[n]) for n in names]).first()))
+    distinct = dict.fromkeys(names, 0)
+    if long := [n for n in names if counts[n] > exact_rows]:
+        found = frame.agg(*[F.approx_count_distinct(cols[n]) for n in long]).first()
+        distinct |= dict(zip(long, found))
 
-    short = [n for n in names if 0 < counts[n] <= exact_rows]
+    short = [n for n in names if counts[n] and distinct[n] <= exact_rows / 2]
     result: dict[str, float | None] = dict.fromkeys(names)
     if short:
         row = frame.agg(*[F.percentile(cols[n], F.lit(share)) for n in short]).first()
         result |= dict(zip(short, row))
 
-    long = [n for n in names if counts[n] > exact_rows]
+    long = [n for n in long if n not in short]
     ranks = {n: share * (counts[n] - 1) for n in long}
     searches = {
         (n, k): _Search(cols[n], k, counts[n])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from linewatch.config import DEFAULTS
-from linewatch.functions.numbers import finite_or_null, to_number
+from linewatch.functions.numbers import finite_or_null, number_of
 from linewatch.operators.columns import present
 from linewatch.operators.ordering import carry_fill, halo_select
 from linewatch.operators.quantiles import medians
@@ -72,7 +72,7 @@ def fit_sensors(df: DataFrame, sensors: Sequence[str] = SENSORS) -> SensorFit:
     sensors = present(df, sensors)
     if not sensors:
         return SensorFit({})
-    numbers = {c: to_number(F.col(quoted(c))) for c in sensors}
+    numbers = {c: number_of(df, c) for c in sensors}
     row = df.agg(
         *[F.count(x) for x in numbers.values()],
         *[F.bool_or(F.abs(x) == F.lit(math.inf)) for x in numbers.values()],
@@ -113,7 +113,7 @@ def add_temporal_features(
     others = [c for c in df.columns if c not in sensors]
 
     def number(c: str) -> Column:
-        return F.coalesce(to_number(F.col(quoted(c))), F.lit(float(fit.medians[c])))
+        return F.coalesce(number_of(df, c), F.lit(float(fit.medians[c])))
 
     numbers = df.select(
         *[number(c).alias(c) if c in sensors else F.col(quoted(c)) for c in df.columns]

@@ -20,6 +20,10 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.ui.showConsoleProgress": "false",
+            # Tables are tiny here: compiling plans would cost more than running them.
+            # The comparison script and the bench run compiled.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.checkpoint.dir": "file:" + str(tmp_path_factory.mktemp("shared")),
         },
     )

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linewatch.functions.labels import class_probabilities, downtime_group, label_name
-from linewatch.functions.numbers import finite_or_zero, to_number, unit_hash
+from linewatch.functions.numbers import finite_or_zero, number_of, unit_hash
 from linewatch.functions.times import parse_clock, parse_mixed_date
 from linewatch.operators.anomaly import AnomalyModel, fit_mahalanobis, mahalanobis_distance
 from linewatch.operators.calendar import add_calendar_features, reconstruct_datetime
@@ -69,11 +69,14 @@ def test_weekend(spark):
 
 
 def test_numbers(spark):
-    df = spark.createDataFrame([("1.5",), ("bad",), ("nan",), (None,), ("inf",)], "t string")
-    got = [r.x for r in df.select(to_number(F.col("t")).alias("x")).collect()]
-    assert got == [1.5, None, None, None, math.inf]
-    clean = df.select(finite_or_zero(to_number(F.col("t"))).alias("x"))
-    assert [r.x for r in clean.collect()] == [1.5, 0, 0, 0, 0]
+    texts = ["1.5", "bad", "nan", None, "inf", " -2e3 ", ".5", "5.", "1d", "0x10", "", "-Infinity", "1 2"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.x for r in df.select(number_of(df, "t").alias("x")).collect()]
+    assert got == [1.5, None, None, None, math.inf, -2000.0, 0.5, 5.0, None, None, None, -math.inf, None]
+    clean = df.select(finite_or_zero(number_of(df, "t")).alias("x"))
+    assert [r.x for r in clean.collect()][:6] == [1.5, 0, 0, 0, 0, -2000.0]
+    doubles = spark.createDataFrame([(1.0,), (math.nan,)], "x double")
+    assert [r.x for r in doubles.select(number_of(doubles, "x").alias("x")).collect()] == [1.0, None]
 
 
 def test_groups_and_names(spark):

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from linewatch.catalog.models import small_bundle
 from linewatch.catalog.base import machine_events
-from linewatch.operators.drift import detect_drift
+from linewatch.operators.drift import detect_drift, moving_statistics
+from linewatch.operators.ordering import dense_index
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
 from linewatch.streaming.drift import drift_stream
 from linewatch.streaming.replay import pace, write_replay
-from linewatch.streaming.score import score, score_stream
+from linewatch.streaming.score import scaled_messages, score, score_stream
 
 
 def test_messages_keep_nulls_and_drop_the_label(spark):
@@ -137,3 +138,13 @@ def test_score_stream_equals_stored_and_survives_a_restart(spark, sf):
     states = spark.read.parquet(f"{results}/drift").where("seq is null")
     per_batch = {r.batch_id: r["count"] for r in states.groupBy("batch_id").count().collect()}
     assert per_batch == {b: len(bundle.features) for b in range(3)}
+    # Reference statistics are those of one pass over all good messages in order.
+    scaled = scaled_messages(to_messages(raw).select("value"), bundle)
+    numbered = dense_index(scaled, "seq", out="at")
+    want = moving_statistics(numbered, bundle.features, "at", start=bundle.reference_stats).toPandas()
+    left = spark.read.parquet(f"{results}/stats/batch_id=2").toPandas()
+    both = want.merge(left, on="feature", suffixes=("", "_stream"))
+    assert len(both) == len(bundle.features) and (both["seen"] == stored.count()).all()
+    assert (both["count"] == both["count_stream"]).all()
+    for column in ("mean", "std", "min", "max"):
+        assert both[column].to_numpy() == pytest.approx(both[f"{column}_stream"].to_numpy(), rel=1e-9, abs=1e-9)
