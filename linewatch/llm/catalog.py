@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
 
 QUERIES = {}
@@ -61,3 +62,31 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"), "contaminated"
     )
+
+
+def class_sql(documents: str = "documents") -> str:
+    """CTEs that end in ``classed``: doc_id, class_id."""
+    return f"""
+  worded as (select doc_id, text, coalesce({WORDS_SQL}, []) as w from {documents}),
+  bags as (select doc_id, sh, count(*) as c
+    from (select doc_id, array_to_string(list_slice(w, s + 1, s + 5), ' ') as sh
+      from (select doc_id, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) as s from worded where len(w) > 0))
+    group by doc_id, sh),
+  sizes as (select doc_id, sum(c) as t from bags group by doc_id),
+  common as (select x.doc_id as a, y.doc_id as b, sum(least(x.c, y.c)) as c
+    from bags x join bags y on x.sh = y.sh and x.doc_id <> y.doc_id group by all),
+  links as (select a, b from common join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+      where c >= 0.8::double * (x.t + y.t - c)
+    union select x.doc_id, y.doc_id from worded x join worded y
+      on x.text = y.text and x.doc_id <> y.doc_id and x.text <> '' and len(x.w) = 0),
+  reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+  classed as (select doc_id, least(doc_id, coalesce(min(b), doc_id)) as class_id
+    from worded left join reach on a = doc_id group by doc_id)"""
+
+
+@query(
+    "op3_near_duplicates",
+    f"with recursive {class_sql()} select doc_id, class_id, doc_id = class_id as kept from classed",
+)
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return near_duplicates(table(spark, sf, "documents"))
