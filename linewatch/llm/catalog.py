@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
+from linewatch.llm.packing import pack
 
 QUERIES = {}
 ORACLES = {}
@@ -90,3 +91,14 @@ def class_sql(documents: str = "documents") -> str:
 )
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
+
+
+def tokenizer_file() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op10_pack")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return pack(table(spark, sf, "documents"), tokenizer_file())
