@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
 from linewatch.llm.packing import pack
+from linewatch.llm.toxicity import held_out, learn, score
 
 QUERIES = {}
 ORACLES = {}
@@ -102,3 +103,17 @@ def tokenizer_file() -> str:
 @query("op10_pack")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return pack(table(spark, sf, "documents"), tokenizer_file())
+
+
+def toxicity_grammar(spark: SparkSession, sf: str):
+    """Learned from the rows that are not held out."""
+    documents, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    return learn(documents.where(~held_out()), labels.where(~held_out()))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    scored = score(table(spark, sf, "documents").select("doc_id", "text"), toxicity_grammar(spark, sf))
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
