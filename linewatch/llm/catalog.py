@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
+from linewatch.llm import language
 from linewatch.llm.packing import pack
 from linewatch.llm.toxicity import held_out, learn, score
 
@@ -117,3 +118,12 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
     )
+
+
+@query("op8_language")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language.learn(documents.where(~held_out()))
+    return language.predict(documents.drop("lang"), model).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score"
+    )
