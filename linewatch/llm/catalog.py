@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
-from linewatch.llm import language
+from linewatch.llm import language, secret_scan
 from linewatch.llm.packing import pack
 from linewatch.llm.toxicity import held_out, learn, score
 
@@ -127,3 +127,19 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(documents.drop("lang"), model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score"
     )
+
+
+@query("op4_secrets")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf, "documents").select("doc_id", "text"))
+
+    def count(kind: str):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = secret_scan.KINDS[:3]
+    return found.select(
+        "doc_id",
+        *[count(k) for k in base],
+        F.sha2(secret_scan.render("secrets", base), 256).alias("base_sha256"),
+        secret_scan.render("secrets").alias("spans"),
+    )
