@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
-from linewatch.llm import language, secret_scan
+from linewatch.llm import language, rotation_codes, secret_scan
 from linewatch.llm.packing import pack
 from linewatch.llm.toxicity import held_out, learn, score
 
@@ -143,3 +143,25 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(secret_scan.render("secrets", base), 256).alias("base_sha256"),
         secret_scan.render("secrets").alias("spans"),
     )
+
+
+VECTOR_LINKS_SQL = """
+  v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null
+      and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0),
+  u as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v),
+  pairs as (select x.vec_id as a, y.vec_id as b from u x join u y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+    where list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.9),
+  reach as (select a, b from pairs union select r.a, p.b from reach r join pairs p on r.b = p.a)"""
+
+
+@query(
+    "op1_embedding_near_duplicates",
+    f"""with recursive {VECTOR_LINKS_SQL},
+  counted as (select a, count(*) as n from pairs group by a),
+  least_of as (select a, min(b) as b from reach group by a)
+  select vec_id, coalesce(n, 0)::bigint as n_links, least(vec_id, coalesce(b, vec_id)) as component_id,
+    vec_id = least(vec_id, coalesce(b, vec_id)) as kept
+  from embeddings left join counted on counted.a = vec_id left join least_of on least_of.a = vec_id""",
+)
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return rotation_codes.near_duplicates(table(spark, sf, "embeddings"))
