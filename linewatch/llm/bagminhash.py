@@ -6,9 +6,10 @@ time, each with a register and a position in the stretch that is read off bit by
 stretch keeps just the points below it. A register keeps its earliest point. Two documents agree in a register with the
 probability of their weighted Jaccard similarity, sum of min over sum of max.
 
-Signatures are banded. A first round compares the members of a bucket with one of them only,
-so a large group of copies costs a comparison each; a second round compares, in blocks, what the first one left in
-different classes. Whether two documents link is decided by their exact multisets.
+Signatures are banded. A round compares the members of a bucket with one of them only,
+so a large group of copies costs a comparison each. Rounds go on, with other members, while much is left in
+different classes and they still link something; a last one compares, in blocks, all pairs of a bucket that are not yet in one class. Whether
+two documents link is decided by their exact multisets.
 """
 
 from __future__ import annotations
@@ -36,10 +37,12 @@ class Near:
     threshold: float = 0.8
     bands: int = 20
     rows: int = 5
-    # Pairs whose signatures agree in this share less than the threshold are not verified: five deviations.
-    slack: float = 0.2
+    # Pairs whose signatures agree in this share less than the threshold are not verified: four deviations.
+    slack: float = 0.16
     # Signatures compared with each other in one task at most.
     block: int = 1024
+    # Pairs across classes for each member of a bucket that are compared without another round.
+    linear: float = 8.0
     # Ids below this size go to every executor; a larger table is joined by shuffles.
     small_rows: int = 4_000_000
 
@@ -238,35 +241,62 @@ def _agree(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept))
 
 
-def _block_pairs(pdf, near: Near):
-    """Pairs of one pair of blocks that agree well enough, in different classes, found at the first band that they share."""
+def _compare_blocks(pdf, near: Near):
+    """Pairs that agree well enough, in different classes, found at the first band that they share: side 0 of each
+    (band, bucket, i, j) against its side 1, or against itself where there is none."""
     import pandas as pd
 
-    side = pdf["side"].to_numpy()
-    halves = [pdf[side == 0], pdf[side == 1]]
-    if len(halves[1]) == 0:
-        halves[1] = halves[0]
-    out = []
-    (x, bx), (y, by) = (
-        (
-            np.array([np.frombuffer(v, np.uint16) for v in h["signature"]]).reshape(len(h), -1),
-            np.array([np.frombuffer(v, np.int64) for v in h["bands"]]).reshape(len(h), -1),
-        )
-        for h in halves
-    )
-    if len(x) == 0 or len(y) == 0:
+    if not len(pdf):
         return pd.DataFrame({"a": [], "b": []})
-    band = int(pdf["band"].iloc[0])
-    kx, ky = halves[0]["key"].to_numpy(), halves[1]["key"].to_numpy()
-    cx, cy = halves[0]["class"].to_numpy(), halves[1]["class"].to_numpy()
-    for i in range(len(x)):
-        at = np.flatnonzero((x[i] == y).mean(axis=1) >= near.threshold - near.slack)
-        at = at[(cy[at] != cx[i])]
-        at = at[~(by[at, :band] == bx[i, :band]).any(axis=1)]
-        out += [(kx[i], ky[j]) for j in at if kx[i] < ky[j] or halves[0] is not halves[1]]
+    pdf = pdf.sort_values(["band", "bucket", "i", "j"], kind="stable")
+    signatures = np.frombuffer(b"".join(pdf["signature"]), np.uint16).reshape(len(pdf), -1)
+    bands = np.frombuffer(b"".join(pdf["bands"]), np.int64).reshape(len(pdf), -1)
+    key, cls, side = pdf["key"].to_numpy(), pdf["class"].to_numpy(), pdf["side"].to_numpy()
+    group = pdf.groupby(["band", "bucket", "i", "j"], sort=True).ngroup().to_numpy()
+    ends = np.flatnonzero(np.diff(group, append=-1)) + 1
+    out = []
+    for first, last in zip(np.append(0, ends[:-1]), ends):
+        x = first + np.flatnonzero(side[first:last] == 0)
+        y = first + np.flatnonzero(side[first:last] == 1)
+        own = len(y) == 0
+        y = x if own else y
+        band = int(pdf["band"].iat[first])
+        for i in x:
+            to = y[cls[y] != cls[i]]
+            to = to[(signatures[to] == signatures[i]).mean(axis=1) >= near.threshold - near.slack]
+            to = to[~(bands[to, :band] == bands[i, :band]).any(axis=1)]
+            out += [(key[i], key[j]) for j in to if not own or key[i] < key[j]]
     return pd.DataFrame(out, columns=["a", "b"])
 
 
+def _rest_pairs(rest: DataFrame, distinct: DataFrame, near: Near) -> DataFrame:
+    """Pairs worth verifying across the classes of mixed buckets. The members of a bucket's largest class
+    meet only the others; both sides go in blocks, so a task holds a few blocks whatever the bucket."""
+    other = F.col("class") != F.col("top")
+    n_other, n_top = F.ceil((F.col("n") - F.col("n_top")) / near.block).cast("int"), F.ceil(F.col("n_top") / near.block).cast("int")
+    own = F.pmod(F.xxhash64("key"), F.when(other, n_other).otherwise(n_top)).cast("int")
+
+    def upto(n):
+        return F.sequence(F.lit(0), n - 1)
+
+    def spot(i, j, side):
+        return F.struct(i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
+
+    # j counts blocks of the largest class from 0, and of the others from -1 down.
+    with_top = F.transform(upto(n_top), lambda j: spot(own, j, F.lit(0)))
+    with_others = F.transform(
+        upto(n_other), lambda o: spot(F.least(own, o), -1 - F.greatest(own, o), own > o)
+    )
+    as_top = F.transform(upto(n_other), lambda i: spot(i, own, F.lit(1)))
+    spots = F.when(other, F.concat(with_top, with_others)).otherwise(as_top)
+    blocks = rest.withColumn("spot", F.explode(spots)).select("band", "bucket", "key", "class", "spot.*")
+    blocks = blocks.join(distinct, "key")
+    # Many small blocks share a group; blocks of one bucket rarely do.
+    groups = F.lit(max(rest.count() // (2 * near.block), 1) * 4)
+    pooled = blocks.withColumn("pool", F.pmod(F.xxhash64("band", "bucket", "i", "j"), groups))
+    return pooled.groupBy("pool").applyInPandas(lambda pdf: _compare_blocks(pdf, near), "a binary, b binary").distinct()
+
+
 def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
     """doc_id, class_id, kept: one row per row of ``documents``.
 
@@ -280,38 +310,55 @@ def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
     owners = signed.where("bands is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     distinct = signed.where("bands is not null").dropDuplicates(["key"]).select("key", "bands", "signature")
     distinct = materialise(spark, distinct, "distinct")
-    buckets = _buckets(distinct, near)
-    hubs = buckets.groupBy("band", "bucket").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialise(spark, buckets.join(hubs, ["band", "bucket"]), "buckets")
-    stars = buckets.where("key <> hub").select(F.col("key").alias("a"), F.col("hub").alias("b")).distinct()
     sketch = distinct.select("key", "signature")
-    alike = (
-        stars.join(sketch.withColumnsRenamed({"key": "a", "signature": "ga"}), "a")
-        .join(sketch.withColumnsRenamed({"key": "b", "signature": "gb"}), "b")
-        .mapInArrow(lambda batches: _agree(batches, near), "a binary, b binary")
-    )
-    linked = materialise(spark, _verify(documents, owners, materialise(spark, alike, "pairs"), near), "links")
-    classes = components(linked)
-
-    # Buckets whose members are not yet all in one class, in blocks.
-    held = buckets.join(classes.withColumnRenamed("node", "key"), "key", "left")
-    held = held.select("band", "bucket", "key", "n", F.coalesce("component", "key").alias("class"))
-    mixed = held.groupBy("band", "bucket").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo <> hi")
-    blocks = F.greatest(F.ceil(F.col("n") / near.block), F.lit(1)).cast("int")
-    rest = held.join(mixed.select("band", "bucket"), ["band", "bucket"]).join(distinct, "key")
-    rest = rest.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-    # A block meets itself and every other block once.
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rest = rest.select(
-        "band", "bucket", "key", "class", "bands", "signature",
-        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"),
-    )
-    more = rest.groupBy("band", "bucket", "i", "j").applyInPandas(lambda pdf: _block_pairs(pdf, near), "a binary, b binary")
-    more = materialise(spark, more, "pairs")
-    if not more.isEmpty():
-        linked = linked.unionByName(_verify(documents, owners, more, near))
-        classes = components(linked)
+    buckets = _buckets(distinct, near)
+    shared = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    buckets = materialise(spark, buckets.join(shared, ["band", "bucket"]), "buckets")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        alike = (
+            pairs.join(sketch.withColumnsRenamed({"key": "a", "signature": "ga"}), "a")
+            .join(sketch.withColumnsRenamed({"key": "b", "signature": "gb"}), "b")
+            .mapInArrow(lambda batches: _agree(batches, near), "a binary, b binary")
+        )
+        return materialise(spark, _verify(documents, owners, materialise(spark, alike, "pairs"), near), "links")
+
+    links, classes, fresh, turn = None, None, True, 0
+    while True:
+        held = buckets.withColumn("class", F.col("key"))
+        if classes is not None:
+            held = buckets.join(classes.withColumnRenamed("node", "key"), "key", "left")
+            held = held.select("band", "bucket", "key", F.coalesce("component", "key").alias("class"))
+        sizes = held.groupBy("band", "bucket", "class").agg(F.count(F.lit(1)).alias("c"))
+        tops = sizes.groupBy("band", "bucket").agg(
+            F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "class")).alias("most")
+        )
+        tops = tops.where("n * n > squares").select(
+            "band", "bucket", "n", F.col("most.c").alias("n_top"), F.col("most.class").alias("top"), "squares"
+        )
+        rest = materialise(spark, held.join(tops, ["band", "bucket"]), "mixed")
+        # A member's share of its bucket's pairs across classes.
+        members, across = rest.agg(F.count(F.lit(1)), F.sum((F.col("n") - F.col("squares") / F.col("n")) / 2)).first()
+        if not members:
+            break
+        final = turn > 0 and (not fresh or across <= near.linear * members)
+        if final:
+            pairs = _rest_pairs(rest.drop("squares"), distinct, near)
+        else:
+            drawn = F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "class")).alias("hub")
+            hubs = rest.groupBy("band", "bucket").agg(drawn)
+            met = rest.join(hubs, ["band", "bucket"]).where(F.col("class") != F.col("hub.class"))
+            pairs = met.select(F.greatest("key", "hub.key").alias("a"), F.least("key", "hub.key").alias("b")).distinct()
+        found = verified(pairs)
+        fresh = not found.isEmpty()
+        links = found if links is None else links.unionByName(found)
+        if fresh:
+            classes = components(links)
+        if final:
+            break
+        turn += 1
+    if classes is None:
+        classes = signed.where("false").select(F.col("key").alias("node"), F.col("key").alias("component"))
 
     member = signed.select("doc_id", "key").join(classes.withColumnRenamed("node", "key"), "key", "left")
     member = member.select("doc_id", F.coalesce("component", "key").alias("class"))

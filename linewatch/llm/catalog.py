@@ -147,7 +147,7 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
 VECTOR_LINKS_SQL = """
   v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null
-      and len(list_filter(embedding, x -> x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0),
+      and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
   u as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v),
   pairs as (select x.vec_id as a, y.vec_id as b from u x join u y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
     where list_dot_product(x.e, y.e) / (x.n * y.n) >= 0.9),
