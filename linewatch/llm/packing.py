@@ -18,11 +18,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linewatch.llm.encode import encoder
+from linewatch.llm.ranks import parts_for, ranked
 from linewatch.session import materialise
 
 END = 0
-#: Rows of one length that one task ranks, about.
-RANKED_ROWS = 200_000
 
 
 def combinations(window: int, lengths: np.ndarray) -> np.ndarray:
@@ -206,17 +205,11 @@ def pack(documents: DataFrame, tokenizer: str, window: int = 1024) -> DataFrame:
     plan = make_plan(window, counts)
 
     # Ranks within a length, counted in parts so that a frequent length is many tasks' work.
-    parts = int(counts.sum() // RANKED_ROWS) + 1
-    part = F.pmod(F.xxhash64("row"), F.lit(parts)).alias("part")
+    part = F.pmod(F.xxhash64("row"), F.lit(parts_for(int(counts.sum())))).alias("part")
     tails = tokens.where(F.col("doc_tokens") % window > 0).select(
         "doc_id", "doc_tokens", "row", "tail", tail_tokens, (F.col("doc_tokens") - F.col("doc_tokens") % window).alias("tail_start"), part
     )
-    sizes = tails.groupBy("tail_tokens", "part").agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.partitionBy("tail_tokens").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("tail_tokens", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    within = Window.partitionBy("tail_tokens", "part").orderBy("row")
-    light = tails.drop("tail").withColumn("nth", F.row_number().over(within)).join(sizes, ["tail_tokens", "part"])
-    ranks = light.select("row", (F.col("before") + F.col("nth") - 1).alias("rank"))
+    ranks = ranked(tails.drop("tail"), ["tail_tokens"], "part", ["row"], "rank").select("row", "rank")
     placed = tails.drop("part").join(ranks, "row").mapInArrow(
         lambda batches: _place(batches, tokenizer, plan),
         f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
