@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
 from linewatch.llm import chat, language, rotation_codes, secret_scan, sharding
@@ -96,15 +97,9 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(table(spark, sf, "documents"))
 
 
-def tokenizer_file() -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 @query("op10_pack")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
-    return pack(table(spark, sf, "documents"), tokenizer_file())
+    return pack(table(spark, sf, "documents"), corpus_pipeline.tokenizer_file())
 
 
 def toxicity_grammar(spark: SparkSession, sf: str):
@@ -243,3 +238,8 @@ URL_RULES = [
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf, "pages"), rules)
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.names import unused
 from linewatch.llm.words import text_slices
 
 #: Trigrams are hashed into this many counts: the size of a model is this times its languages.
@@ -181,16 +182,17 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
         return pa.array(list(flat), pa.list_(pa.float64()))
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    top = F.array_max("_share")
+    share = unused(documents, "share")
+    top = F.array_max(share)
     known = lettered & (F.coalesce(top, F.lit(0.0)) > 0)
-    place = F.array_position("_share", top).cast("int")
+    place = F.array_position(share, top).cast("int")
     langs = F.array(*[F.lit(x) for x in names]) if names else F.array().cast("array<string>")
-    pairs = F.filter(F.arrays_zip(langs.alias("k"), F.col("_share").alias("v")), lambda x: x["v"] > 0)
+    pairs = F.filter(F.arrays_zip(langs.alias("k"), F.col(share).alias("v")), lambda x: x["v"] > 0)
     return (
-        documents.withColumn("_share", proportions(F.col("text")))
+        documents.withColumn(share, proportions(F.col("text")))
         .withColumn("lang_pred", F.when(known, F.element_at(langs, place)).otherwise(UNKNOWN))
         .withColumn("score", F.when(known, F.least(top, F.lit(1.0))).otherwise(0.0))
         .withColumn("proportions", F.when(known, F.map_from_entries(pairs)))
-        .drop("_share")
+        .drop(share)
     )
 

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.names import unused
 from linewatch.llm.words import text_slices
 from linewatch.session import materialise
 
@@ -175,16 +176,17 @@ def _scan(text: str, battery: Battery, tokens: re.Pattern, shares: dict[str, flo
     return base, found
 
 
-def scan(documents: DataFrame, battery: Battery = Battery()) -> DataFrame:
-    """``documents`` with ``secrets``: array of (start, end, kind), ordered by start and kind.
+def scan(documents: DataFrame, battery: Battery = Battery(), name: str = "secrets") -> DataFrame:
+    """``documents`` with the column ``name``: array of (start, end, kind), ordered by start and kind.
 
     Offsets are code points, the end exclusive. The base kinds are exact; ``random`` spans never overlap them.
-    Null and empty texts have no spans. Each row is looked at by itself, so repeated rows and ids stay as they are; a column named
-    ``secrets`` is replaced."""
+    Null and empty texts have no spans. Each row is looked at by itself, so repeated rows and ids stay as they are; a column of that
+    name is replaced."""
     spark = documents.sparkSession
     shares = character_shares(documents)
     tokens = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % battery.shortest)
-    columns = [c for c in documents.columns if c != "secrets"]
+    columns = [c for c in documents.columns if c != name]
+    raw = unused(documents, "raw")
 
     @F.pandas_udf(f"struct<base:array<{SPAN}>,tokens:array<{TOKEN}>>")
     def found(texts):
@@ -207,13 +209,13 @@ def scan(documents: DataFrame, battery: Battery = Battery()) -> DataFrame:
     )
     limits = thresholds(materialise(spark, levels, "evidence"), battery.rate)
     cut = F.create_map(F.lit("none"), F.lit(math.inf), *[F.lit(v) for pair in limits.items() for v in pair])
-    scanned = documents.select(*columns, found("text").alias("_found"))
-    taken = F.filter("_found.tokens", lambda t: t["random"] & (t["evidence"] >= F.coalesce(cut[t["stratum"]], F.lit(math.inf))))
+    scanned = documents.select(*columns, found("text").alias(raw))
+    taken = F.filter(f"{raw}.tokens", lambda t: t["random"] & (t["evidence"] >= F.coalesce(cut[t["stratum"]], F.lit(math.inf))))
     added = F.transform(taken, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lit("random").alias("kind")))
     order = F.create_map(*[F.lit(v) for i, k in enumerate(KINDS) for v in (k, i)])
-    keyed = F.transform(F.concat("_found.base", added), lambda s: F.struct(s["start"], order[s["kind"]].alias("rank"), s["end"], s["kind"]))
+    keyed = F.transform(F.concat(f"{raw}.base", added), lambda s: F.struct(s["start"], order[s["kind"]].alias("rank"), s["end"], s["kind"]))
     spans = F.transform(F.array_sort(keyed), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
-    return scanned.withColumn("secrets", spans).drop("_found")
+    return scanned.withColumn(name, spans).drop(raw)
 
 
 def thresholds(levels: DataFrame, rate: float) -> dict[str, float]:
@@ -241,7 +243,8 @@ def render(spans, kinds: list[str] | None = None):
 
 def redact(documents: DataFrame, battery: Battery = Battery(), mark: str = "[SECRET]") -> DataFrame:
     """``documents`` with each stretch of overlapping spans replaced by ``mark``; other texts stay as they are, null too."""
-    scanned = scan(documents, battery)
+    name = unused(documents, "secrets")
+    scanned = scan(documents, battery, name)
 
     @F.pandas_udf("string")
     def masked(texts, spans):
@@ -260,5 +263,5 @@ def redact(documents: DataFrame, battery: Battery = Battery(), mark: str = "[SEC
             out.append("".join(pieces) + text[at:])
         return pd.Series(out, dtype=object)
 
-    text = F.when(F.size("secrets") > 0, masked("text", "secrets")).otherwise(F.col("text"))
+    text = F.when(F.size(name) > 0, masked("text", name)).otherwise(F.col("text"))
     return scanned.withColumn("text", text).select(*documents.columns)

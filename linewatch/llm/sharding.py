@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.names import unused
 from linewatch.llm.ranks import parts_for, ranked
 
 #: Hexadecimal digits of a hash that a double holds exactly.
@@ -46,16 +47,17 @@ def shard(records: DataFrame, key: str, weights: Sequence[float], grown: Sequenc
     more = list(grown) or [weights[0]]
     names = [c for c in records.columns if c not in ("shard", "slot", "grown_shard")]
     text = F.coalesce(F.col(key).cast("string"), F.lit("null"))
+    hashed, part = unused(records, "hashed"), unused(records, "part")
     drawn = scores(text, [*weights, *more])
     placed = records.select(
         *names,
         winner(drawn[: len(weights)]).alias("shard"),
         winner(drawn).alias("grown_shard"),
-        F.md5(text).alias("_hash"),
+        F.md5(text).alias(hashed),
     )
     # Parts are stretches of the hash, so their order is its order.
     parts = parts_for(records.count())
-    share = F.conv(F.substring("_hash", 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
-    placed = placed.withColumn("_part", F.floor(share * parts).cast("int"))
-    order = ["_hash", *[c for c in names if not placed.schema[c].dataType.typeName() in ("map", "variant")]]
-    return ranked(placed, ["shard"], "_part", order, "slot").select(*names, "shard", "slot", "grown_shard")
+    share = F.conv(F.substring(hashed, 1, DIGITS), 16, 10).cast("double") / float(16**DIGITS)
+    placed = placed.withColumn(part, F.floor(share * parts).cast("int"))
+    order = [hashed, *[c for c in names if not placed.schema[c].dataType.typeName() in ("map", "variant")]]
+    return ranked(placed, ["shard"], part, order, "slot").select(*names, "shard", "slot", "grown_shard")

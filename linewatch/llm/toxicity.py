@@ -326,9 +326,9 @@ def learn(
     return Grammar(grammar.patterns, [float(w) for w in weights], intercept)
 
 
-def score(documents: DataFrame, grammar: Grammar) -> DataFrame:
-    """``documents`` with ``score``, 0 to 1. Null and empty texts score as texts that match nothing; a ``score`` column
-    that is there already is replaced. One row in, one row out; nothing is shuffled."""
+def score(documents: DataFrame, grammar: Grammar, name: str = "score") -> DataFrame:
+    """``documents`` with the column ``name``, 0 to 1. Null and empty texts score as texts that match nothing; a column of that
+    name is replaced. One row in, one row out; nothing is shuffled."""
     from pyspark.sql.types import DoubleType
 
     @F.pandas_udf(DoubleType())
@@ -336,7 +336,7 @@ def score(documents: DataFrame, grammar: Grammar) -> DataFrame:
         m = matcher(grammar)
         return texts.map(lambda t: m.score(t or ""))
 
-    return documents.withColumn("score", scored(F.col("text")))
+    return documents.withColumn(name, scored(F.col("text")))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

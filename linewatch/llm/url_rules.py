@@ -113,7 +113,7 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow", stret
     firsts, lasts = [e[1] for e in ends], [e[2] for e in ends]
 
     @F.udf("array<int>")
-    def reached(key: str) -> list[int]:
+    def reached(key):
         # From the first stretch that ends at the key or later to the last that begins within its interval.
         low = bisect_left(lasts, key)
         high = bisect_right(firsts, key + "\U0010ffff")
