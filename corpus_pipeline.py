@@ -34,39 +34,38 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, grammar, name).where(F.col(name) < TOXIC).select(*docs.columns)
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id, null as any other, is not in ``ids``."""
-    own = unused(docs, "own_id")
-    ids = materialise(docs.sparkSession, ids.select(F.col("doc_id").alias(own)).distinct(), "ids")
-    small = ids.count() <= SMALL_IDS
-    return docs.join(F.broadcast(ids) if small else ids, F.col("doc_id").eqNullSafe(F.col(own)), "left_anti")
+def _matching(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """Rows of ``docs`` whose id, null as any other, and text are (``left_semi``) or are not (``left_anti``) among ``rows``
+    (doc_id, text_hash)."""
+    own, hashed = unused(docs, "own_id"), unused(docs, "own_hash")
+    rows = rows.select(F.col("doc_id").alias(own), F.col("text_hash").alias(hashed)).distinct()
+    rows = materialise(docs.sparkSession, rows, "rows")
+    small = rows.count() <= SMALL_IDS
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(hashed))
+    return docs.join(F.broadcast(rows) if small else rows, same, how)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each class stays: that of the class's id. Rows that share an id are a class, of which the least text stays."""
+    """One row of each class stays. Of rows equal in id and text, which are of one class, the least by the other columns does."""
     judged = materialise(spark, bagminhash.near_duplicates(docs), "classes")
-    kept = _without(docs, judged.where("not kept"))
-    twice = judged.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    twice = materialise(spark, twice.select("doc_id"), "twice")
+    kept = _matching(docs, judged.where("not kept"), "left_anti")
+    # Null and empty texts are classes of their own, repeated or not.
+    twice = judged.where("kept").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    wordless = [F.xxhash64(F.lit(t).cast("string")) for t in (None, "")]
+    twice = materialise(spark, twice.where(~F.col("text_hash").isin(*wordless)).drop("n"), "twice")
     if twice.isEmpty():
         return kept
-    own = unused(docs, "own_id")
-    of_many = docs.join(twice.withColumnRenamed("doc_id", own), F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
-    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
-    one = of_many.groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("least"))
-    one = one.select("doc_id", "least.*").select(*docs.columns)
-    return _without(kept, twice).unionByName(one)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = unused(docs, "least")
+    one = _matching(kept, twice, "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias(least))
+    one = one.select("doc_id", "text", f"{least}.*").select(*docs.columns)
+    return _matching(kept, twice, "left_anti").unionByName(one)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that hold less of the benchmark than a twentieth of their words."""
     judged = decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = materialise(spark, judged.where("contaminated").select("doc_id", "text_hash"), "contaminated")
-    small = bad.count() <= SMALL_IDS
-    own, hashed = unused(docs, "own_id"), unused(docs, "own_hash")
-    bad = bad.withColumnsRenamed({"doc_id": own, "text_hash": hashed})
-    same = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(hashed))
-    return docs.join(F.broadcast(bad) if small else bad, same, "left_anti")
+    return _matching(docs, judged.where("contaminated"), "left_anti")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

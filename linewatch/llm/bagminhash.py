@@ -158,23 +158,25 @@ def _sign(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBa
                     pa.compute.if_else(absent, null, _blobs(folded.view(np.int64))),
                     pa.compute.if_else(absent, null, _blobs(signed.astype(np.uint16))),
                     batch.column("text_key").slice(first, n),
+                    batch.column("text_hash").slice(first, n),
                 ],
-                names=["doc_id", "key", "bands", "signature", "text_key"],
+                names=["doc_id", "key", "bands", "signature", "text_key", "text_hash"],
             )
 
 
 def sign(documents: DataFrame, near: Near) -> DataFrame:
-    """doc_id, key, bands, signature. A text without a word has no signature; its key is the hash of
+    """doc_id, text_hash, key, bands, signature. A text without a word has no signature; its key is the hash of
     the text, or null for a null or empty text."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     text = F.coalesce(F.col("text"), F.lit(""))
     # Only the wordless need the hash of the text.
     bare = F.when((text != "") & ~text.rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), F.unhex(F.md5(text)))
-    signed = documents.select("doc_id", text.alias("text"), bare.alias("text_key")).mapInArrow(
+    hashed = F.xxhash64("text").alias("text_hash")
+    signed = documents.select("doc_id", text.alias("text"), bare.alias("text_key"), hashed).mapInArrow(
         lambda batches: _sign(batches, near),
-        f"doc_id {kind}, key binary, bands binary, signature binary, text_key binary",
+        f"doc_id {kind}, key binary, bands binary, signature binary, text_key binary, text_hash bigint",
     )
-    return signed.select("doc_id", F.coalesce("key", "text_key").alias("key"), "bands", "signature")
+    return signed.select("doc_id", "text_hash", F.coalesce("key", "text_key").alias("key"), "bands", "signature")
 
 
 def _buckets(signed: DataFrame, near: Near) -> DataFrame:
@@ -298,13 +300,13 @@ def _rest_pairs(rest: DataFrame, distinct: DataFrame, near: Near) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
-    """doc_id, class_id, kept: one row per row of ``documents``.
+    """doc_id, text_hash, class_id, kept: one row per row of ``documents``.
 
     ``class_id`` is the least ``doc_id`` of the class: documents linked through pairs of weighted Jaccard
     similarity of at least ``threshold``. A document of fewer words than ``width``, but not none, is one shingle. Texts
     without a word are alike only if equal; null and empty texts are each a class of
-    their own. ``kept`` is true for the rows that carry the class's ``doc_id``: repeated rows of that id are all marked, and a null id is
-    its class's only if the class has no other."""
+    their own. ``kept`` is true for one document of each class, that of the least id and text hash; rows equal in both are
+    all marked. A null id is its class's only if the class has no other. ``text_hash`` tells the texts of one id apart."""
     spark = documents.sparkSession
     signed = materialise(spark, sign(documents, near), "signatures")
     owners = signed.where("bands is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
@@ -360,9 +362,16 @@ def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
     if classes is None:
         classes = signed.where("false").select(F.col("key").alias("node"), F.col("key").alias("component"))
 
-    member = signed.select("doc_id", "key").join(classes.withColumnRenamed("node", "key"), "key", "left")
-    member = member.select("doc_id", F.coalesce("component", "key").alias("class"))
-    least = member.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"))
+    member = signed.select("doc_id", "text_hash", "key").join(classes.withColumnRenamed("node", "key"), "key", "left")
+    member = member.select("doc_id", "text_hash", F.coalesce("component", "key").alias("class"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("first")
+    least = member.where("class is not null").groupBy("class").agg(first)
     out = member.join(least, "class", "left")
-    class_id = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return out.select("doc_id", class_id.alias("class_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    alone = F.col("class").isNull()
+    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return out.select(
+        "doc_id",
+        "text_hash",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"),
+        (alone | same).alias("kept"),
+    )

@@ -94,7 +94,7 @@ def class_sql(documents: str = "documents") -> str:
     f"with recursive {class_sql()} select doc_id, class_id, doc_id = class_id as kept from classed",
 )
 def op3(spark: SparkSession, sf: str) -> DataFrame:
-    return near_duplicates(table(spark, sf, "documents"))
+    return near_duplicates(table(spark, sf, "documents")).drop("text_hash")
 
 
 @query("op10_pack")
