@@ -91,10 +91,27 @@ def future_target(spark: SparkSession, sf: str) -> DataFrame:
 )
 def future_target_by(spark: SparkSession, sf: str) -> DataFrame:
     placed = dense_index(grouped(spark, sf), by=["Machine_ID"], out="place", bucket_rows=BUCKET_ROWS)
-    ahead = create_future_target(placed, order="place", by=["Machine_ID"], bucket_rows=BUCKET_ROWS)
+    ahead = create_future_target(placed, order="place", by=["Machine_ID"], bucket_rows=BUCKET_ROWS, dense=True)
     return ahead.select("row_id", F.col(TARGET).alias("label"))
 
 
+# Ids with small gaps everywhere, and with long stretches of nothing.
+GAPPY = "event_id % 7 <> 3 and (event_id // 700) % 3 <> 1"
+GAPPY_SPARK = "event_id % 7 <> 3 and (event_id div 700) % 3 <> 1"
+SHORT_BUCKETS = 30
+
+
+@query(
+    "future_target_gappy_o41",
+    f"""with t as (select event_id as row_id, user_id % 4 as c from events where {GAPPY}),
+      ahead as (select row_id, lead(c, 10) over (order by row_id)::int as label from t)
+      select row_id, label from ahead where label is not null""",
+)
+def future_target_gappy(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").where(GAPPY_SPARK).selectExpr("event_id as row_id", f"user_id % 4 as {GROUP}")
+    return create_future_target(rows, bucket_rows=SHORT_BUCKETS).select("row_id", F.col(TARGET).alias("label"))
+
+
 @query(
     "lag_one_o42",
     f"""with {NUMBERS_SQL}, m as (select median(s1) as m from numbers)
@@ -231,6 +248,33 @@ def temporal(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "temporal_by_machine_o47",
+    """with n as (select event_id as row_id, user_id % 6 as machine, case when event_id % 13 = 0 then null else value end as x,
+        case when event_id % 11 < 4 then null else concat('n', event_id) end as note from events),
+      m as (select median(x) as m from n),
+      f as (select row_id, machine, coalesce(x, m) as x, m, note from n, m),
+      w as (select row_id, machine, x, coalesce(lag(x) over g, m) as lag1,
+          avg(x) over (partition by machine order by row_id rows 4 preceding) as mean5,
+          coalesce(stddev_samp(x) over (partition by machine order by row_id rows 4 preceding), 0) as std5,
+          coalesce(last_value(note ignore nulls) over (partition by machine order by row_id rows unbounded preceding),
+            first_value(note ignore nulls) over (partition by machine order by row_id rows between current row and unbounded following),
+            '0') as note from f window g as (partition by machine order by row_id))
+      select row_id, machine, note, round(x, 6) + 0.0 as x, round(lag1, 6) + 0.0 as lag1, round(mean5, 6) + 0.0 as mean5,
+        round(std5, 6) + 0.0 as std5 from w""",
+)
+def temporal_by_machine(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").selectExpr(
+        "event_id as row_id",
+        "user_id % 6 as machine",
+        "case when event_id % 13 = 0 then null else value end as x",
+        "case when event_id % 11 < 4 then null else concat('n', event_id) end as note",
+    )
+    made = add_temporal_features(rows, ["x"], by=["machine"], bucket_rows=500)
+    named = made.withColumnsRenamed({"x_lag1": "lag1", "x_mean5": "mean5", "x_std5": "std5"})
+    return named.select("row_id", "machine", "note", *[r6(c).alias(c) for c in ("x", "lag1", "mean5", "std5")])
+
+
 @query(
     "rising_edge_o48",
     """with f as (select event_id as row_id, value > 50 as flag from events)
@@ -241,6 +285,20 @@ def edges(spark: SparkSession, sf: str) -> DataFrame:
     return rising_edge(flags, "flag", "newly", bucket_rows=BUCKET_ROWS)
 
 
+@query(
+    "rising_edge_gappy_o48",
+    f"""with f as (select event_id as row_id, user_id % 3 as g, value > 50 as flag from events where {GAPPY})
+      select row_id, flag and not coalesce(lag(flag) over (order by row_id), false) as newly,
+        flag and not coalesce(lag(flag) over (partition by g order by row_id), false) as newly_in_group from f""",
+)
+def edges_gappy(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").where(GAPPY_SPARK)
+    flags = rows.selectExpr("event_id as row_id", "user_id % 3 as g", "value > 50 as flag")
+    both = rising_edge(flags, "flag", "newly", bucket_rows=SHORT_BUCKETS)
+    both = rising_edge(both, "flag", "newly_in_group", by=["g"], bucket_rows=SHORT_BUCKETS)
+    return both.select("row_id", "newly", "newly_in_group")
+
+
 @query("every_nth_o49", "select event_id, value from events where event_id % 50 = 49")
 def nth(spark: SparkSession, sf: str) -> DataFrame:
     return every_nth(table(spark, sf, "events"), 50, "event_id").select("event_id", "value")
@@ -257,6 +315,17 @@ def repeats(spark: SparkSession, sf: str) -> DataFrame:
     return drop_repeats(stamps, "stamp", bucket_rows=BUCKET_ROWS)
 
 
+@query(
+    "drop_repeats_gappy_o50",
+    f"""with t as (select event_id as row_id, user_id % 3 as stamp from events where {GAPPY} and event_id > 5),
+      l as (select row_id, stamp, lag(stamp) over (order by row_id) as before, row_number() over (order by row_id) as n from t)
+      select row_id, stamp from l where n = 1 or stamp is distinct from before""",
+)
+def repeats_gappy(spark: SparkSession, sf: str) -> DataFrame:
+    rows = table(spark, sf, "events").where(GAPPY_SPARK + " and event_id > 5")
+    return drop_repeats(rows.selectExpr("event_id as row_id", "user_id % 3 as stamp"), "stamp", bucket_rows=SHORT_BUCKETS)
+
+
 @query(
     "moving_statistics_o58",
     """with recursive x as (select row_number() over (order by event_id) as i, value as s1,

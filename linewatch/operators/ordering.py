@@ -18,6 +18,7 @@ from linewatch.config import DEFAULTS
 from linewatch.schema import ROW_ID, quoted
 
 BUCKET = "_bucket"
+POSITION = "_pos"
 # Buckets summarised together at the second level of a carry, so that the top
 # level sees one row per BUCKETS_PER_GROUP * bucket_rows input rows.
 BUCKETS_PER_GROUP = 10_000
@@ -82,26 +83,70 @@ def dense_index(
     return joined.select(*columns, index.alias(out))
 
 
-def halo_select(
+def dense_from(df: DataFrame, order: str = ROW_ID) -> int | None:
+    """The first value of ``order`` if its values are whole numbers without gap, repeat or null, else None.
+
+    As many values as their range is long, and the same combined hash as the range."""
+    value = F.col(quoted(order)).cast("bigint")
+    n, low, high, seen = df.agg(
+        F.count(F.lit(1)), F.min(value), F.max(value), F.bit_xor(F.xxhash64(value))
+    ).first()
+    if not n or low is None or high - low + 1 != n:
+        return None
+    want = df.sparkSession.range(low, high + 1).agg(F.bit_xor(F.xxhash64("id"))).first()[0]
+    return low if want == seen else None
+
+
+def _claimed(df: DataFrame, order: str, by: Sequence[str]) -> Column:
+    """Positions of an order said to be dense, in each group, after a look at the claim."""
+    position = F.col(quoted(order))
+    if not by:
+        low = dense_from(df, order)
+        if low is None and not df.isEmpty():
+            raise ValueError(f"{order} is said to be dense and is not")
+        return position - F.lit(low or 0)
+    ends = [F.count(F.lit(1)).alias("n"), F.min(position).alias("low"), F.max(position).alias("high")]
+    groups = df.groupBy(*[F.col(quoted(c)) for c in by]).agg(*ends)
+    if not groups.where("low is null or low <> 0 or high - low + 1 <> n").isEmpty():
+        raise ValueError(f"{order} is said to be dense in {list(by)}, from 0 on, and is not")
+    return position
+
+
+def with_position(
+    df: DataFrame,
+    order: str = ROW_ID,
+    by: Sequence[str] = (),
+    dense: bool | None = None,
+    bucket_rows: int = DEFAULTS.bucket_rows,
+) -> DataFrame:
+    """``df`` with ``_pos``: 0, 1, ... in ``order``, per ``by``.
+
+    ``dense`` says that ``order`` is such a position already, which is checked; by default a look decides
+    (without ``by``), and the order is ranked where it has gaps."""
+    if POSITION in df.columns:
+        df = df.drop(POSITION)
+    if dense:
+        return df.withColumn(POSITION, _claimed(df, order, by).cast("bigint"))
+    if dense is None and not by:
+        low = dense_from(df, order)
+        if low is not None:
+            return df.withColumn(POSITION, (F.col(quoted(order)) - F.lit(low)).cast("bigint"))
+    return dense_index(df, order, by, POSITION, bucket_rows)
+
+
+def halo_at(
     df: DataFrame,
     columns: Callable[[WindowSpec], list[Column]],
     before: int = 0,
     after: int = 0,
-    order: str = ROW_ID,
     by: Sequence[str] = (),
     bucket_rows: int = DEFAULTS.bucket_rows,
-    keep_bucket: bool = False,
+    keep: bool = False,
 ) -> DataFrame:
-    """Row-frame expressions over the whole order, bucket by bucket.
-
-    ``order`` must be dense (see :func:`dense_index`). ``columns`` gets the window
-    and returns what to select; frames may reach ``before`` rows back and
-    ``after`` rows ahead. Each bucket also receives that many rows of its
-    neighbours, which are dropped again afterwards.
-    """
+    """:func:`halo_select` over a frame that has ``_pos``; ``keep`` leaves it and the bucket in."""
     if bucket_rows < max(before, after, 1):
         raise ValueError(f"bucket_rows={bucket_rows} is shorter than the frame ({before}, {after})")
-    position = F.col(quoted(order))
+    position = F.col(POSITION)
     own = bucket_of(position, bucket_rows)
     offset = position - own * bucket_rows
     targets = [own]
@@ -113,17 +158,40 @@ def halo_select(
         spread = df.withColumn(BUCKET, own)
     else:
         spread = df.withColumn(BUCKET, F.explode(F.array_compact(F.array(*targets))))
-    window = Window.partitionBy(*by, BUCKET).orderBy(quoted(order))
-    result = spread.select(*columns(window), (F.col(BUCKET) == own).alias("_own"), BUCKET)
-    result = result.where("_own").drop("_own")
-    return result if keep_bucket else result.drop(BUCKET)
+    window = Window.partitionBy(*[quoted(c) for c in by], BUCKET).orderBy(POSITION)
+    inner = [F.col(BUCKET), position] if keep else []
+    chosen = [c for c in columns(window)]
+    result = spread.select(*chosen, (F.col(BUCKET) == own).alias("_own"), *inner)
+    return result.where("_own").drop("_own")
 
 
-def _carried(summaries: DataFrame, columns: Sequence[str]) -> DataFrame:
+def halo_select(
+    df: DataFrame,
+    columns: Callable[[WindowSpec], list[Column]],
+    before: int = 0,
+    after: int = 0,
+    order: str = ROW_ID,
+    by: Sequence[str] = (),
+    bucket_rows: int = DEFAULTS.bucket_rows,
+    dense: bool | None = None,
+) -> DataFrame:
+    """Row-frame expressions over the whole order, bucket by bucket.
+
+    ``columns`` gets the window and returns what to select; frames may reach ``before`` rows back and
+    ``after`` rows ahead. Each bucket also receives that many rows of its
+    neighbours, which are dropped again afterwards. ``order`` may have gaps; see :func:`with_position` for ``dense``.
+    """
+    if bucket_rows < max(before, after, 1):
+        raise ValueError(f"bucket_rows={bucket_rows} is shorter than the frame ({before}, {after})")
+    placed = with_position(df, order, by, dense, bucket_rows)
+    return halo_at(placed, columns, before, after, by, bucket_rows)
+
+
+def _carried(summaries: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:
     """What each bucket takes from outside: the last value of the buckets before
     it, else the first value of all. Two levels like :func:`_offsets`."""
     grouped = summaries.withColumn("_group", bucket_of(F.col(BUCKET), BUCKETS_PER_GROUP))
-    order = Window.orderBy("_group")
+    order = Window.partitionBy(*key).orderBy("_group")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
@@ -131,27 +199,29 @@ def _carried(summaries: DataFrame, columns: Sequence[str]) -> DataFrame:
         return F.when(F.col(c).isNotNull(), F.col(BUCKET))
 
     tops = (
-        grouped.groupBy("_group")
+        grouped.groupBy(*key, "_group")
         .agg(
             *[F.max_by(f"{c}_last", where_set(f"{c}_last")).alias(f"{c}_last") for c in columns],
             *[F.min_by(f"{c}_first", where_set(f"{c}_first")).alias(f"{c}_first") for c in columns],
         )
         .select(
+            *key,
             "_group",
             *[F.last(f"{c}_last", ignorenulls=True).over(before).alias(f"{c}_top") for c in columns],
             *[F.first(f"{c}_first", ignorenulls=True).over(whole).alias(f"{c}_all") for c in columns],
         )
     )
     inside = (
-        Window.partitionBy("_group").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*key, "_group").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     )
     local = grouped.select(
+        *key,
         "_group",
         BUCKET,
         *[F.last(f"{c}_last", ignorenulls=True).over(inside).alias(f"{c}_in") for c in columns],
     )
-    return local.join(tops, "_group").select(
-        BUCKET, *[F.coalesce(f"{c}_in", f"{c}_top", f"{c}_all").alias(c) for c in columns]
+    return local.join(tops, [*key, "_group"]).select(
+        *key, BUCKET, *[F.coalesce(f"{c}_in", f"{c}_top", f"{c}_all").alias(c) for c in columns]
     )
 
 
@@ -161,40 +231,43 @@ def carry_fill(
     order: str = ROW_ID,
     bucket_rows: int = DEFAULTS.bucket_rows,
     source: DataFrame | None = None,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Forward fill, then backward fill, then 0, over the whole order.
+    """Forward fill, then backward fill, then 0, over the whole order, or within each group of ``by``.
 
     What a forward fill leaves open is the stretch before a column's first value,
-    so the backward fill is that one value. Text columns end in ``'0'``. A frame
-    already bucketed by :func:`halo_select` keeps its partitioning; ``source``
-    is then a cheaper frame with the same values to take the summaries from.
+    so the backward fill is that one value. Text columns end in ``'0'``. ``order`` may have gaps. A frame
+    already bucketed by :func:`halo_at` keeps its partitioning; ``source``
+    is then a stored frame with the same values to take the summaries from.
     """
-    kept = [c for c in df.columns if c != BUCKET]
-    columns = [c for c in kept if c != order] if columns is None else list(columns)
+    hidden = (BUCKET, POSITION)
+    kept = [c for c in df.columns if c not in hidden]
+    columns = [c for c in kept if c != order and c not in by] if columns is None else list(columns)
     if not columns:
         return df.select(*[F.col(quoted(c)) for c in kept])
     source = df if source is None else source
     position = F.col(quoted(order))
     own = bucket_of(position, bucket_rows)
-    bucketed = df if BUCKET in df.columns else df.withColumn(BUCKET, own)
+    bucketed, key = _keyed(df if BUCKET in df.columns else df.withColumn(BUCKET, own), by)
     short = {c: f"_c{i}" for i, c in enumerate(columns)}
 
     def at(c: str) -> Column:
         return F.when(F.col(quoted(c)).isNotNull(), position)
 
-    per_bucket = source.groupBy(own.alias(BUCKET)).agg(
+    per_bucket = _keyed(source, by)[0].groupBy(*key, own.alias(BUCKET)).agg(
         *[F.max_by(F.col(quoted(c)), at(c)).alias(f"{s}_last") for c, s in short.items()],
         *[F.min_by(F.col(quoted(c)), at(c)).alias(f"{s}_first") for c, s in short.items()],
     )
     inside = (
-        Window.partitionBy(BUCKET).orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*key, BUCKET).orderBy(quoted(order)).rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = bucketed.select(
         *[F.col(quoted(c)) for c in kept if c not in short],
         *[F.last(F.col(quoted(c)), ignorenulls=True).over(inside).alias(c) for c in columns],
+        *key,
         BUCKET,
     )
-    joined = filled.join(_carried(per_bucket, list(short.values())), BUCKET)
+    joined = filled.join(_carried(per_bucket, list(short.values()), key), [*key, BUCKET])
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def final(c: str) -> Column:
@@ -216,15 +289,16 @@ def rising_edge(
     order: str = ROW_ID,
     by: Sequence[str] = (),
     bucket_rows: int = DEFAULTS.bucket_rows,
+    dense: bool | None = None,
 ) -> DataFrame:
     """True where ``flag`` is set and was not set one row before."""
 
     def columns(w: WindowSpec) -> list[Column]:
-        held = F.coalesce(F.col(flag), F.lit(False))
-        earlier = F.coalesce(F.lag(F.col(flag)).over(w), F.lit(False))
-        return ["*", (held & ~earlier).alias(out)]
+        held = F.coalesce(F.col(quoted(flag)), F.lit(False))
+        earlier = F.coalesce(F.lag(F.col(quoted(flag))).over(w), F.lit(False))
+        return [*[F.col(quoted(c)) for c in df.columns], (held & ~earlier).alias(out)]
 
-    return halo_select(df, columns, 1, 0, order, by, bucket_rows).select(*df.columns, out)
+    return halo_select(df, columns, 1, 0, order, by, bucket_rows, dense)
 
 
 def every_nth(df: DataFrame, n: int = DEFAULTS.ewma_every, order: str = ROW_ID) -> DataFrame:
@@ -233,13 +307,17 @@ def every_nth(df: DataFrame, n: int = DEFAULTS.ewma_every, order: str = ROW_ID)
 
 
 def drop_repeats(
-    df: DataFrame, value: str, order: str = ROW_ID, bucket_rows: int = DEFAULTS.bucket_rows
+    df: DataFrame,
+    value: str,
+    order: str = ROW_ID,
+    bucket_rows: int = DEFAULTS.bucket_rows,
+    dense: bool | None = None,
 ) -> DataFrame:
     """Rows whose ``value`` differs from the row before."""
 
     def columns(w: WindowSpec) -> list[Column]:
-        first = F.col(order) == 0
-        return ["*", (first | ~F.col(value).eqNullSafe(F.lag(value).over(w))).alias("_new")]
+        first = F.col(POSITION) == 0
+        changed = ~F.col(quoted(value)).eqNullSafe(F.lag(F.col(quoted(value))).over(w))
+        return [*[F.col(quoted(c)) for c in df.columns], (first | changed).alias("_new")]
 
-    kept = halo_select(df, columns, 1, 0, order, (), bucket_rows).where("_new")
-    return kept.select(*df.columns)
+    return halo_select(df, columns, 1, 0, order, (), bucket_rows, dense).where("_new").drop("_new")

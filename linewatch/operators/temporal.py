@@ -13,9 +13,18 @@ from pyspark.sql.window import WindowSpec
 from linewatch.config import DEFAULTS
 from linewatch.functions.numbers import finite_or_null, number_of
 from linewatch.operators.columns import present
-from linewatch.operators.ordering import carry_fill, halo_select
+from linewatch.operators.ordering import (
+    BUCKET,
+    POSITION,
+    carry_fill,
+    dense_from,
+    dense_index,
+    halo_at,
+    with_position,
+)
 from linewatch.operators.quantiles import medians
 from linewatch.schema import GROUP, ROW_ID, SENSORS, TARGET, quoted
+from linewatch.session import materialise
 
 
 def create_future_target(
@@ -25,9 +34,10 @@ def create_future_target(
     order: str = ROW_ID,
     by: Sequence[str] = (),
     bucket_rows: int = DEFAULTS.bucket_rows,
+    dense: bool | None = None,
 ) -> DataFrame:
     """The class ``shift`` rows ahead as ``Future_Downtime_Label``. Rows without
-    one go, unless no row has one."""
+    one go, unless no row has one. ``order`` may have gaps."""
     if target not in df.columns:
         return df
 
@@ -37,11 +47,12 @@ def create_future_target(
             F.lead(F.col(quoted(target)), shift).over(w).cast("int").alias(TARGET),
         ]
 
-    ahead = halo_select(df, columns, 0, shift, order, by, bucket_rows)
+    placed = with_position(df, order, by, dense, bucket_rows)
+    ahead = halo_at(placed, columns, 0, shift, by, bucket_rows)
     # Some row has a label exactly if a class sits at position >= shift; the look
     # stops at the first one.
-    classes_ahead = F.col(quoted(target)).isNotNull() & (F.col(quoted(order)) >= shift)
-    none = df.where(classes_ahead).select(F.lit(1)).isEmpty()
+    classes_ahead = F.col(quoted(target)).isNotNull() & (F.col(POSITION) >= shift)
+    none = placed.where(classes_ahead).select(F.lit(1)).isEmpty()
     return ahead if none else ahead.where(F.col(TARGET).isNotNull())
 
 
@@ -90,26 +101,25 @@ def add_temporal_features(
     fit: SensorFit | None = None,
     order: str = ROW_ID,
     by: Sequence[str] = (),
-    fill_order: str | None = None,
     bucket_rows: int = DEFAULTS.bucket_rows,
     rolling_rows: int = DEFAULTS.rolling_rows,
     ahead: tuple[str, int, str] | None = None,
     fill_from: DataFrame | None = None,
+    dense: bool | None = None,
 ) -> DataFrame:
     """Sensors to numbers with gaps at the median, then ``_lag1``, ``_mean5`` and
     ``_std5`` for each; the other columns are filled forward, backward, then 0.
 
-    All row windows share one exchange and one sort. With ``by``, ``order`` is the
-    dense position inside the group and ``fill_order`` the one of the table.
+    All row windows share one exchange and one sort. With ``by``, windows and fills stay within a group.
+    ``order`` may have gaps; it is then ranked once, into a stored table.
     ``ahead`` adds a look-ahead column (source, rows, name) in the same pass and
-    drops the rows that have none; ``fill_from`` is then the table without them.
+    drops the rows that have none; ``fill_from`` is then the table without them, of a dense order from 0.
     Without any sensor column the frame is returned as it is.
     """
     sensors = present(df, sensors)
     if not sensors:
         return df
     fit = fit_sensors(df, sensors) if fit is None else fit
-    fill_order = fill_order or order
     others = [c for c in df.columns if c not in sensors]
 
     def number(c: str) -> Column:
@@ -118,6 +128,17 @@ def add_temporal_features(
     numbers = df.select(
         *[number(c).alias(c) if c in sensors else F.col(quoted(c)) for c in df.columns]
     )
+    # Columns that cannot hold nulls need no fill.
+    nullable = {f.name for f in df.schema.fields if f.nullable}
+    gaps = [c for c in others if c in nullable and c != order and c not in by]
+    low = dense_from(numbers, order) if dense is None and not by else None
+    if low is not None:
+        placed = numbers.withColumn(POSITION, (F.col(quoted(order)) - F.lit(low)).cast("bigint"))
+    elif dense:
+        placed = with_position(numbers, order, by, dense, bucket_rows)
+    else:
+        placed = dense_index(numbers, order, by, POSITION, bucket_rows)
+        placed = materialise(df.sparkSession, placed, "placed")
 
     def columns(w: WindowSpec) -> list[Column]:
         made = []
@@ -134,16 +155,14 @@ def add_temporal_features(
         return [*[F.col(quoted(c)) for c in df.columns], *made]
 
     reach = ahead[1] if ahead else 0
-    featured = halo_select(
-        numbers, columns, rolling_rows - 1, reach, order, by, bucket_rows, keep_bucket=not by
-    )
+    featured = halo_at(placed, columns, rolling_rows - 1, reach, by, bucket_rows, keep=True)
     if ahead:
         featured = featured.where(F.col(quoted(ahead[2])).isNotNull())
-    # Columns that cannot hold nulls need no fill.
-    nullable = {f.name for f in df.schema.fields if f.nullable}
-    gaps = [c for c in others if c in nullable and c not in (order, fill_order)]
-    source = df if fill_from is None else fill_from
-    filled = carry_fill(featured, gaps, fill_order, bucket_rows, source=source)
+    source = placed if fill_from is None else fill_from.withColumn(POSITION, F.col(quoted(order)).cast("bigint"))
     # A window of infinities alone has no mean and takes the last one before it.
     means = [f"{c}_mean5" for c in fit.infinite if c in sensors]
-    return carry_fill(filled, means, fill_order, bucket_rows) if means else filled
+    if means:
+        # The means are made in the pass above, so their summaries need its result.
+        featured = materialise(df.sparkSession, featured, "featured")
+        return carry_fill(featured, [*gaps, *means], POSITION, bucket_rows, by=by)
+    return carry_fill(featured, gaps, POSITION, bucket_rows, source=source, by=by)

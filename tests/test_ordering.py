@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from linewatch.operators.ordering import (
     carry_fill,
+    dense_from,
     dense_index,
     drop_repeats,
     halo_select,
@@ -122,6 +123,46 @@ def test_rising_edge_and_repeats(spark):
     assert list(kept["row_id"]) == list(range(0, 40, 4))
 
 
+@pytest.mark.parametrize("bucket_rows", [12, 50, 10_000])
+@pytest.mark.parametrize("rows", ["row_id % 3 = 0", "row_id % 90 < 25", "row_id < 15 or row_id > 260", "row_id > 7"])
+def test_gaps_lose_no_rows(spark, bucket_rows, rows):
+    df = frame(spark).where(rows)
+    got = pandas_of(create_future_target(df, bucket_rows=bucket_rows))
+    want = pandas_of(df)
+    want[TARGET] = want[GROUP].shift(-10)
+    want = want.dropna(subset=[TARGET])
+    assert list(got["row_id"]) == list(want["row_id"]) and list(got[TARGET]) == [int(v) for v in want[TARGET]]
+    flagged = df.selectExpr("row_id", "Downtime_Group > 2 as f", "Downtime_Group div 2 as s")
+    plain = pandas_of(flagged)
+    edge = pandas_of(rising_edge(flagged, "f", "new", bucket_rows=bucket_rows))
+    assert list(edge["new"]) == list(plain["f"] & ~plain["f"].shift(1, fill_value=False))
+    kept = pandas_of(drop_repeats(flagged, "s", bucket_rows=bucket_rows))
+    assert list(kept["row_id"]) == list(plain[plain["s"] != plain["s"].shift(1)]["row_id"])
+
+
+def test_dense_claims_are_checked(spark):
+    df = spark.range(20).selectExpr("id as row_id", "id % 2 as g", "id % 3 = 0 as f")
+    assert dense_from(df) == 0 and dense_from(df.where("row_id > 4")) == 5
+    assert dense_from(df.where("row_id <> 4")) is None
+    doubled = df.where("row_id <> 4").unionByName(df.where("row_id = 5"))
+    assert dense_from(doubled) is None
+    for wrong, by in ((df.where("row_id <> 4"), []), (doubled, []), (df, ["g"])):
+        with pytest.raises(ValueError):
+            rising_edge(wrong, "f", "new", by=by, dense=True)
+
+
+@pytest.mark.parametrize("bucket_rows", [5, 10_000])
+def test_fill_stays_within_a_group(spark, bucket_rows):
+    df = frame(spark).where("row_id % 4 <> 1").selectExpr("row_id", "case when row_id % 5 = 0 then null else row_id % 3 end as g", "x", "t")
+    got = pandas_of(carry_fill(df, ["x", "t"], bucket_rows=bucket_rows, by=["g"]))
+    want = pandas_of(df)
+    for c, none in (("x", 0.0), ("t", "0")):
+        groups = want.groupby("g", dropna=False)[c]
+        filled = groups.ffill()
+        filled = filled.where(filled.notna(), want.assign(v=filled).groupby("g", dropna=False)["v"].bfill())
+        assert list(got[c]) == list(filled.fillna(none))
+
+
 def plan_of(df):
     out = io.StringIO()
     with redirect_stdout(out):
