@@ -87,7 +87,7 @@ _PLACE = hash_sql(42, "z.event_type", "'place'", "j")
       union all select label, round(s1, 6) + 0.0, round(s2, 6) + 0.0, true from made""",
 )
 def oversample(spark: SparkSession, sf: str) -> DataFrame:
-    grown = smote(numbers(spark, sf), ["s1", "s2"], "event_type")
+    grown = smote(numbers(spark, sf), ["s1", "s2"], "event_type", exact=True)
     return grown.select(
         F.col("event_type").alias("label"), r6("s1").alias("s1"), r6("s2").alias("s2"), "synthetic"
     )

@@ -57,6 +57,10 @@ def metric_name(c: Column) -> Column:
     return F.translate(c, "()?", "___")
 
 
+#: Hash values are below this.
+HASH_SPACE = 2**60
+
+
 def stable_hash(*cols: Column, seed: int = 0) -> Column:
     """60 hash bits as a non-negative bigint. MD5 gives the same value in every
     SQL engine, so seeded choices can be checked outside Spark."""

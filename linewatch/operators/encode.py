@@ -5,29 +5,26 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.config import DEFAULTS
 from linewatch.functions.labels import fill_label, label_index
+from linewatch.functions.numbers import HASH_SPACE, stable_hash
 from linewatch.operators.columns import present, require
+from linewatch.operators.ordering import dense_index
 from linewatch.operators.stats import fit_scaler
 from linewatch.schema import CATEGORIES, GROUP, quoted
+from linewatch.session import materialise
 
-# More values than this make a column no category; the fit then stops instead of
-# bringing an unbounded list to the driver.
-MAX_CATEGORIES = 10_000
-
-
-def distinct_values(
-    df: DataFrame, values: Mapping[str, Column], limit: int = MAX_CATEGORIES
-) -> dict[str, list[str]]:
-    """The sorted distinct texts of several columns in one job."""
+def distinct_values(df: DataFrame, values: Mapping[str, Column]) -> dict[str, list[str]]:
+    """The sorted distinct texts of several columns in one job, as lists: for classes and for categories that
+    become columns of a table. :func:`fit_categories` keeps any number of values as a table."""
     if not values:
         return {}
     items = [F.struct(F.lit(n).alias("name"), c.alias("value")) for n, c in values.items()]
-    rows = df.select(F.inline(F.array(*items))).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{list(values)} have more than {limit} distinct values")
+    rows = df.select(F.inline(F.array(*items))).distinct().collect()
     return {
         n: sorted(r["value"] for r in rows if r["name"] == n and r["value"] is not None)
         for n in values
@@ -76,6 +73,56 @@ def one_hot(df: DataFrame, categories: dict[str, list[str]]) -> DataFrame:
     return df.select(*kept, *dummies)
 
 
+@dataclass(frozen=True)
+class Categories:
+    """``values``: name, value, position, a stored table; ``sizes``: number of values by column."""
+
+    values: DataFrame
+    sizes: dict[str, int]
+
+
+def fit_categories(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> Categories:
+    """The values of any number of any columns, each with its position in its column. Positions go by a hash of the
+    value, so they depend on the values alone and no task sorts all of a column."""
+    names = present(df, columns)
+    items = [
+        F.struct(F.lit(c).alias("name"), category_text(F.col(quoted(c))).alias("value")) for c in names
+    ]
+    spark = df.sparkSession
+    if not names:
+        return Categories(spark.createDataFrame([], "name string, value string, position bigint"), {})
+    found = materialise(spark, df.select(F.inline(F.array(*items))).distinct(), "values")
+    hashed = found.withColumn("_hash", stable_hash(F.col("value")))
+    width = max(1, HASH_SPACE // (found.count() // DEFAULTS.bucket_rows + 1))
+    placed = dense_index(hashed, "_hash", ["name"], "position", width, ties=["value"]).drop("_hash")
+    placed = materialise(spark, placed, "categories")
+    sizes = {r.name: r.n for r in placed.groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return Categories(placed, {c: sizes.get(c, 0) for c in names})
+
+
+def encode_categories(df: DataFrame, categories: Categories, out: str = "categories", keep: bool = False) -> DataFrame:
+    """One sparse 0/1 vector ``out`` in place of the source columns: the columns one after the other, each as wide as it has
+    values. A value not seen at the fit is all zeros. ``keep`` leaves the source columns."""
+    names = [c for c in categories.sizes if c in df.columns]
+    start, encoded = 0, df
+    for c in names:
+        own = categories.values.where(F.col("name") == c).select(
+            F.col("value").alias(f"_value_{c}"), (F.col("position") + start).alias(f"_at_{c}")
+        )
+        joined = category_text(F.col(quoted(c))) == F.col(quoted(f"_value_{c}"))
+        encoded = encoded.join(own, joined, "left").drop(f"_value_{c}")
+        start += categories.sizes[c]
+    total = start
+    found = F.array_compact(F.array(*[F.col(quoted(f"_at_{c}")).cast("int") for c in names]))
+
+    @F.udf(VectorUDT())
+    def sparse(at):
+        return Vectors.sparse(total, sorted(at), [1.0] * len(at))
+
+    encoded = encoded.withColumn(out, sparse(found)).drop(*[f"_at_{c}" for c in names])
+    return encoded if keep else encoded.drop(*names)
+
+
 @dataclass(frozen=True)
 class Scaler:
     features: list[str]

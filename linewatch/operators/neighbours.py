@@ -1,4 +1,4 @@
-"""Exact k nearest rows of the same class, without comparing all pairs of a class.
+"""Nearest rows of the same class, without comparing all pairs of a class: exact, or with bounded work.
 
 Rows are projected on the direction of greatest variance. Distances along it
 never exceed true distances, so once a row knows k candidates at most d away, only
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from linewatch.functions.numbers import stable_hash
-from linewatch.operators.encode import MAX_CATEGORIES
 from linewatch.operators.stats import mean_and_covariance
 from linewatch.schema import quoted
 from linewatch.session import materialise
@@ -37,9 +36,11 @@ def main_direction(df: DataFrame, features: Sequence[str]) -> list[float]:
     return np.linalg.eigh(np.array(cov))[1][:, -1].tolist()
 
 
-def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame:
+def _cells(
+    df: DataFrame, features: Sequence[str], chunk_rows: int, direction: Sequence[float] | None = None
+) -> DataFrame:
     """``label, id, x`` plus projection, cell, and chunk of the cell."""
-    direction = main_direction(df, features)
+    direction = main_direction(df, features) if direction is None else direction
     terms = [F.col(quoted(f)).cast("double") * F.lit(w) for f, w in zip(features, direction)]
     placed = df.select(
         "label",
@@ -49,15 +50,13 @@ def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame
     )
     # One row per class: percentiles of the projection, and how finely to cut
     # between two of them so that a cell holds about one chunk.
-    most, classes = df.groupBy("label").count().agg(F.max("count"), F.count("count")).first()
-    most = most or 0
+    most = df.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     segments = max(1, min(SEGMENTS, math.ceil(most / chunk_rows)))
     shares = [i / segments for i in range(segments + 1)]
     grid = placed.groupBy("label").agg(
         F.percentile_approx("p", shares, 10 * SEGMENTS).alias("bounds"),
         F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * segments))).alias("cuts"),
     )
-    grid = F.broadcast(grid) if classes <= MAX_CATEGORIES else grid
     placed = placed.join(grid, "label").withColumn("cell", _cell(F.col("p")))
     sizes = placed.groupBy("label", "cell").agg(
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks")
@@ -129,6 +128,37 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
+#: Random projections of the approximate search: so often is a row compared with a chunk.
+PROJECTIONS = 4
+
+
+def near_neighbours(
+    members: DataFrame,
+    features: Sequence[str],
+    k: int,
+    wanted: DataFrame | None = None,
+    chunk_rows: int = CHUNK_ROWS,
+    projections: int = PROJECTIONS,
+    seed: int = 42,
+) -> DataFrame:
+    """``label, id, neighbour, d2, rank``: the k nearest among the rows that fall into the same chunk under one of a few
+    projections, the main direction and random ones. Approximate, and the work of a row is constant: ``projections`` chunks,
+    whatever the number of features and rows. A class of at most ``chunk_rows`` rows is one chunk, and exact."""
+    spark = members.sparkSession
+    rng = np.random.default_rng(seed)
+    found = None
+    for number in range(projections):
+        direction = None
+        if number:
+            drawn = rng.standard_normal(len(features))
+            direction = (drawn / np.linalg.norm(drawn)).tolist()
+        placed = materialise(spark, _cells(members, features, chunk_rows, direction), "cells")
+        bases = placed if wanted is None else placed.join(wanted, ["label", "id"], "left_semi")
+        part = _search(bases, placed, k, chunk_rows)
+        found = part if found is None else found.unionByName(part)
+    return _best(found.dropDuplicates(["label", "id", "neighbour"]), k)
+
+
 def nearest_neighbours(
     members: DataFrame,
     features: Sequence[str],

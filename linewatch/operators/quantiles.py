@@ -16,12 +16,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from linewatch.functions.numbers import number_of
+from linewatch.session import materialise
 
-# A column goes to the exact aggregate if it has at most this many rows, or about
-# half as many distinct values.
-EXACT_ROWS = 100_000
+# Values of a column that meet in one row at most: what is longer is narrowed first,
+# unless it has about half as many distinct values.
+EXACT_ROWS = 5_000
 SKETCH_ACCURACY = 1000
 
 
@@ -63,6 +65,9 @@ def exact_percentiles(
         return {}
     names = list(columns)
     frame = df.select(*[columns[n].alias(f"v{i}") for i, n in enumerate(names)])
+    if any(n in df.columns and isinstance(df.schema[n].dataType, StringType) for n in names):
+        # Text is parsed once, not in every pass.
+        frame = materialise(df.sparkSession, frame, "numbers")
     cols = {n: F.col(f"v{i}") for i, n in enumerate(names)}
     if counts is None:
         counts = dict(zip(names, frame.agg(*[F.count(cols[n]) for n in names]).first()))

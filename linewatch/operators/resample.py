@@ -9,45 +9,41 @@ from pyspark.sql import functions as F
 
 from linewatch.config import DEFAULTS
 from linewatch.functions.numbers import stable_hash, unit_hash
-from linewatch.operators.encode import MAX_CATEGORIES
-from linewatch.operators.neighbours import CHUNK_ROWS, nearest_neighbours
+from linewatch.operators.neighbours import CHUNK_ROWS, near_neighbours, nearest_neighbours
 from linewatch.operators.ordering import dense_index
-from linewatch.operators.stats import value_counts
 from linewatch.schema import ROW_ID, quoted
 from linewatch.session import materialise
 
 MAX_NEIGHBOURS = 5
 
 
-def class_sizes(df: DataFrame, label: str) -> dict:
-    rows = value_counts(df, label).limit(MAX_CATEGORIES + 1).collect()
-    if len(rows) > MAX_CATEGORIES:
-        raise ValueError(f"{label} has more than {MAX_CATEGORIES} values")
-    return {r[label]: r["n"] for r in sorted(rows, key=lambda r: str(r[label]))}
+#: Synthetic rows numbered together.
+DRAW_ROWS = 10_000
 
 
-def neighbour_count(sizes: dict) -> int:
-    return min(MAX_NEIGHBOURS, max(1, min(sizes.values()) - 1))
+def neighbour_count(rarest: int) -> int:
+    return min(MAX_NEIGHBOURS, max(1, rarest - 1))
 
 
-def _draws(df: DataFrame, sizes: dict, k: int, seed: int) -> DataFrame:
+def _draws(sizes: DataFrame, most: int, k: int, seed: int) -> DataFrame:
     """One row per missing row of a class: base position, neighbour rank, and the
-    place on the segment, all from a seeded hash of class and number."""
-    most = max(sizes.values())
-    draws = None
-    for name, size in sizes.items():
-        if size == most:
-            continue
-        number, text = F.col("id"), F.lit(str(name))
-        part = df.sparkSession.range(most - size).select(
-            text.alias("label"),
-            number.alias("draw"),
-            F.pmod(stable_hash(text, F.lit("base"), number, seed=seed), F.lit(size)).alias("base"),
-            (F.pmod(stable_hash(text, F.lit("rank"), number, seed=seed), F.lit(k)) + 1).cast("int").alias("rank"),
-            unit_hash(text, F.lit("place"), number, seed=seed).alias("place"),
-        )
-        draws = part if draws is None else draws.unionAll(part)
-    return draws
+    place on the segment, all from a seeded hash of class and number. Numbers are dealt out in runs, so a class that
+    lacks many rows is many short arrays."""
+    missing = F.lit(most) - F.col("n")
+    last_run = F.floor((missing - 1) / DRAW_ROWS)
+    runs = sizes.where(missing > 0).select(
+        "label", "n", missing.alias("missing"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("run")
+    )
+    low = F.col("run") * DRAW_ROWS
+    numbers = F.sequence(low, F.least(low + DRAW_ROWS, F.col("missing")) - 1)
+    number, text = F.col("draw"), F.col("label")
+    return runs.repartition("label", "run").select("label", "n", F.explode(numbers).alias("draw")).select(
+        "label",
+        "draw",
+        F.pmod(stable_hash(text, F.lit("base"), number, seed=seed), F.col("n")).alias("base"),
+        (F.pmod(stable_hash(text, F.lit("rank"), number, seed=seed), F.lit(k)) + 1).cast("int").alias("rank"),
+        unit_hash(text, F.lit("place"), number, seed=seed).alias("place"),
+    )
 
 
 def smote(
@@ -58,22 +54,29 @@ def smote(
     seed: int = DEFAULTS.seed,
     chunk_rows: int = CHUNK_ROWS,
     bucket_rows: int = DEFAULTS.bucket_rows,
+    exact: bool = False,
 ) -> DataFrame:
     """``label`` and features of all rows, plus synthetic rows until every class
-    is as large as the largest. ``synthetic`` tells them apart.
+    is as large as the largest. ``synthetic`` tells them apart, and ``draw`` numbers them within their class.
 
-    A class too small to have the wanted neighbours leaves the table as it is.
+    Neighbours are near ones, found with bounded work, or the nearest if ``exact``.
+    A class too small to have the wanted neighbours leaves the table as it is. Rows without a class are kept and are no class.
     """
     columns = [F.col(quoted(label)), *[F.col(quoted(f)).cast("double").alias(f) for f in features]]
-    original = df.select(*columns, F.lit(False).alias("synthetic"))
-    sizes = class_sizes(df, label)
-    if len(sizes) < 2 or min(sizes.values()) == max(sizes.values()):
+    none = F.lit(None).cast("bigint").alias("draw")
+    original = df.select(*columns, F.lit(False).alias("synthetic"), none)
+    spark = df.sparkSession
+    text = F.col(quoted(label)).cast("string")
+    sizes = df.where(text.isNotNull()).groupBy(text.alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialise(spark, sizes, "sizes")
+    classes, rarest, most = sizes.agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first()
+    if classes < 2 or rarest == most:
         return original
-    k = neighbour_count(sizes)
-    if min(sizes.values()) <= k:
+    k = neighbour_count(rarest)
+    if rarest <= k:
         return original
-    spark = df.sparkSession
-    growing = df.where(F.col(quoted(label)).isin([c for c, n in sizes.items() if n < max(sizes.values())]))
+    small = sizes.where(F.col("n") < most).select(F.col("label").alias("_small"))
+    growing = df.join(small, text == F.col("_small"), "left_semi")
     indexed = dense_index(growing, order, [label], "_at", bucket_rows)
     plain = {f: f"f{i}" for i, f in enumerate(features)}
     members = materialise(
@@ -85,9 +88,10 @@ def smote(
         ),
         "members",
     )
-    draws = _draws(df, sizes, k, seed)
+    draws = materialise(spark, _draws(sizes, most, k, seed), "draws")
     wanted = draws.select("label", F.col("base").alias("id")).distinct()
-    near = nearest_neighbours(members, list(plain.values()), k, wanted, chunk_rows)
+    search = nearest_neighbours if exact else near_neighbours
+    near = search(members, list(plain.values()), k, wanted, chunk_rows)
     picked = draws.join(
         near.select("label", F.col("id").alias("base"), "rank", "neighbour"), ["label", "base", "rank"]
     )
@@ -102,5 +106,6 @@ def smote(
             for f, s in plain.items()
         ],
         F.lit(True).alias("synthetic"),
+        F.col("draw"),
     )
     return original.unionByName(made)

@@ -8,13 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.config import DEFAULTS
-from linewatch.functions.numbers import stable_hash
+from linewatch.functions.numbers import HASH_SPACE, stable_hash
 from linewatch.operators.ordering import dense_index
 from linewatch.schema import ROW_ID, quoted
 
-HASH_SPACE = 2**60
-
-
 def raw_split_point(rows: int, share: float = DEFAULTS.raw_train_share) -> int:
     return int(rows * share)
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.config import DEFAULTS, Settings
+from linewatch.functions.numbers import stable_hash
 from linewatch.operators.anomaly import fit_mahalanobis
 from linewatch.operators.drift import detector_states, warm_detectors
 from linewatch.operators.encode import Scaler
@@ -18,7 +19,7 @@ from linewatch.operators.split import split_at, test_split_point
 from linewatch.operators.stats import reference_statistics, value_counts
 from linewatch.operators.train import SearchResult, assemble, grid_search, predict
 from linewatch.plans.features import POSITION, feature_table
-from linewatch.schema import CATEGORIES, GROUP, SENSORS, TARGET
+from linewatch.schema import CATEGORIES, GROUP, SENSORS, TARGET, quoted
 from linewatch.session import materialise
 from linewatch.sources.bundle import Bundle
 
@@ -33,6 +34,16 @@ class TrainingResult:
     metrics: dict[str, float]
 
 
+def numbered_rows(grown: DataFrame, features: Sequence[str], label: str, seed: int) -> DataFrame:
+    """A number for each row of a resampled table that depends on the row alone, so that the folds do not depend on
+    partitions: a hash of class and draw, or of the values of an original row. Equal rows may share one; folds settle
+    ties by it too, and such rows are interchangeable."""
+    values = F.concat_ws("|", *[F.col(quoted(f)).cast("string") for f in features])
+    name = F.col(quoted(label)).cast("string")
+    number = F.when(F.col("synthetic"), stable_hash(name, F.lit("draw"), F.col("draw"), seed=seed))
+    return grown.withColumn(POSITION, number.otherwise(stable_hash(name, values, seed=seed))).drop("draw")
+
+
 def train(
     raw: DataFrame,
     sensors: Sequence[str] = SENSORS,
@@ -66,8 +77,7 @@ def train(
     anomaly = fit_mahalanobis(scaled, made.features, settings.contamination)
 
     grown = smote(scaled, made.features, TARGET, POSITION, settings.seed)
-    numbered = grown.withColumn(POSITION, F.monotonically_increasing_id())
-    balanced = materialise(spark, numbered, "balanced")
+    balanced = materialise(spark, numbered_rows(grown, made.features, TARGET, settings.seed), "balanced")
     search = grid_search(balanced, made.features, TARGET, POSITION, settings)
 
     tested = predict(search.model, assemble(scaler.transform(test_part), made.features, [TARGET]))

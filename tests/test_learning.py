@@ -46,10 +46,36 @@ def test_nearest_neighbours_are_exact(spark, chunk_rows):
         assert np.allclose(mine["d2"].to_numpy().reshape(len(own), 5), brute_force(own, 5))
 
 
+def test_near_neighbours_do_bounded_work(spark, monkeypatch):
+    """Each row meets as many chunks as there are projections, at any size; small classes are exact."""
+    from linewatch.operators import neighbours
+
+    met = []
+    plain = neighbours._search
+
+    def counted(requests, members, k, chunk_rows):
+        met.append(requests.count())
+        return plain(requests, members, k, chunk_rows)
+
+    monkeypatch.setattr(neighbours, "_search", counted)
+    rng = np.random.default_rng(3)
+    for n in (200, 800):
+        points = rng.normal(size=(n, 20))
+        names = [f"f{i}" for i in range(20)]
+        df = spark.createDataFrame([("a", i, *map(float, p)) for i, p in enumerate(points)], ["label", "id", *names])
+        met.clear()
+        found = neighbours.near_neighbours(df, names, 3, chunk_rows=64).toPandas()
+        assert sum(met) == neighbours.PROJECTIONS * n
+        assert (found.groupby("id").size() == 3).all() and (found["neighbour"] != found["id"]).all()
+        best = brute_force(points, 3).mean()
+        spread = ((points - points.mean(axis=0)) ** 2).sum(axis=1).mean() * 2
+        assert best <= found["d2"].mean() < (best + spread) / 2
+    exact = neighbours.near_neighbours(df, names, 3, chunk_rows=2048).toPandas().sort_values(["id", "rank"])
+    assert np.allclose(exact["d2"].to_numpy().reshape(-1, 3), brute_force(points, 3))
+
+
 def test_neighbour_count():
-    assert neighbour_count({0: 100, 1: 6}) == 5
-    assert neighbour_count({0: 100, 1: 3}) == 2
-    assert neighbour_count({0: 100, 1: 1}) == 1
+    assert [neighbour_count(n) for n in (100, 6, 3, 1)] == [5, 5, 2, 1]
 
 
 def classes(spark, sizes):

@@ -106,13 +106,25 @@ def test_missing_target_is_an_error(spark):
         label_encode(spark.range(1), "Downtime_Group")
 
 
-def test_too_many_categories(spark):
-    df = spark.range(50).selectExpr("cast(id as string) as c")
-    from linewatch.operators.encode import distinct_values
+def test_many_categories(spark):
+    """Any number of values, as a table and as one sparse vector."""
+    from linewatch.operators.encode import encode_categories, fit_categories
 
-    with pytest.raises(ValueError):
-        distinct_values(df, {"c": F.col("c")}, limit=49)
-    assert len(distinct_values(df, {"c": F.col("c")}, limit=50)["c"]) == 50
+    df = spark.range(60_000).selectExpr(
+        "id as row_id", "concat('M', id % 50000) as Machine_ID", "case when id % 3 = 0 then null else concat('L', id % 3) end as Assembly_Line_No"
+    )
+    fitted = fit_categories(df)
+    assert fitted.sizes == {"Machine_ID": 50_000, "Assembly_Line_No": 3}
+    out = encode_categories(df, fitted, keep=True)
+    rows = out.where("row_id % 20000 = 7").collect()
+    assert {r.categories.size for r in rows} == {50_003} and {r.categories.numNonzeros() for r in rows} == {2}
+    by_machine = {r.Machine_ID: int(r.categories.indices[0]) for r in rows}
+    positions = {r.value: r.position for r in fitted.values.where("name = 'Machine_ID'").collect()}
+    assert sorted(positions.values()) == list(range(50_000))
+    assert all(positions[m] == at for m, at in by_machine.items())
+    new = spark.createDataFrame([("M1", "L7")], "Machine_ID string, Assembly_Line_No string")
+    assert encode_categories(new, fitted).first().categories.numNonzeros() == 1
+    assert encode_categories(df, fitted).columns == ["row_id", "categories"]
 
 
 def test_recorded_counts():
