@@ -6,7 +6,7 @@ time, each with a register and a position in the stretch that is read off bit by
 stretch keeps just the points below it. A register keeps its earliest point. Two documents agree in a register with the
 probability of their weighted Jaccard similarity, sum of min over sum of max.
 
-Signatures are banded. A round compares the members of a bucket with one of them only,
+Signatures are banded. A round compares the members of a bucket with one of them only, the one that shares most,
 so a large group of copies costs a comparison each. Rounds go on, with other members, while much is left in
 different classes and they still link something; a last one compares, in blocks, all pairs of a bucket that are not yet in one class. Whether
 two documents link is decided by their exact multisets.
@@ -41,8 +41,8 @@ class Near:
     slack: float = 0.16
     # Signatures compared with each other in one task at most.
     block: int = 1024
-    # Pairs across classes for each member of a bucket that are compared without another round.
-    linear: float = 8.0
+    # Signatures of other classes for each member of a bucket that are compared without another round.
+    linear: float = 500.0
     # Ids below this size go to every executor; a larger table is joined by shuffles.
     small_rows: int = 4_000_000
 
@@ -184,18 +184,17 @@ def _buckets(signed: DataFrame, near: Near) -> DataFrame:
     width = 16
     hexed = F.hex("bands")
     each = F.transform(F.sequence(F.lit(0), F.lit(near.bands - 1)), lambda b: F.substring(hexed, b * width + 1, F.lit(width)))
-    return signed.where("bands is not null").select("key", F.posexplode(each).alias("band", "bucket"))
+    return signed.select("key", "doc_id", F.posexplode(each).alias("band", "bucket"))
 
 
-def _verify(documents: DataFrame, owners: DataFrame, pairs: DataFrame, near: Near) -> DataFrame:
-    """The pairs (a, b: keys) whose multisets are similar enough. Only documents named by a pair are read again as bags."""
+def _bags(documents: DataFrame, ids: DataFrame, near: Near) -> DataFrame:
+    """key, bag of the documents of ``ids`` (doc_id), read again. A bag is the sorted hashes of a
+    text's shingles, each with the number of its occurrence, so the weighted similarity of two texts is the plain one of their bags."""
     spark = documents.sparkSession
-    named = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
-    named = materialise(spark, named.join(owners, "key").select("doc_id").distinct(), "named")
-    small = named.count() <= near.small_rows
-    named = named.withColumnRenamed("doc_id", "own_id")
+    ids = materialise(spark, ids.select(F.col("doc_id").alias("own_id")).distinct(), "named")
+    small = ids.count() <= near.small_rows
     chosen = documents.select("doc_id", "text").join(
-        F.broadcast(named) if small else named, F.col("doc_id").eqNullSafe(F.col("own_id")), "left_semi"
+        F.broadcast(ids) if small else ids, F.col("doc_id").eqNullSafe(F.col("own_id")), "left_semi"
     )
 
     def pack(batches):
@@ -203,49 +202,50 @@ def _verify(documents: DataFrame, owners: DataFrame, pairs: DataFrame, near: Nea
             for _, data, offsets in text_slices(batch.column("text")):
                 n = len(offsets) - 1
                 rows, shingles, weights = bags(data, offsets, near.width)
-                ends = np.searchsorted(rows, np.arange(n + 1))
                 keys = bag_keys(rows, shingles, weights, n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        _blobs(keys),
-                        pa.array([shingles[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary()),
-                        pa.array([weights[x:y].astype(np.int32).tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary()),
-                    ],
-                    names=["key", "shingles", "weights"],
-                )
-
-    packed = chosen.mapInArrow(pack, "key binary, shingles binary, weights binary").dropDuplicates(["key"])
-    packed = materialise(spark, packed, "bags")
-    left = packed.withColumnsRenamed({"key": "a", "shingles": "sa", "weights": "wa"})
-    right = packed.withColumnsRenamed({"key": "b", "shingles": "sb", "weights": "wb"})
+                at = np.repeat(np.arange(len(rows)), weights)
+                nth = np.arange(len(at)) - np.repeat(np.cumsum(weights) - weights, weights)
+                hashes, rows = mix(shingles[at] + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), rows[at]
+                hashes = hashes[np.lexsort((hashes, rows))]
+                ends = np.searchsorted(rows, np.arange(n + 1))
+                bag = pa.array([hashes[x:y].tobytes() for x, y in zip(ends[:-1], ends[1:])], pa.binary())
+                yield pa.RecordBatch.from_arrays([_blobs(keys), bag], names=["key", "bag"])
+
+    packed = chosen.mapInArrow(pack, "key binary, bag binary").dropDuplicates(["key"])
+    return materialise(spark, packed, "bags")
+
+
+def _similar(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    least, most = sorted((len(x), len(y)))
+    if least < threshold * most:
+        return False
+    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
+    common = int((x[at] == y).sum())
+    return common >= threshold * (len(x) + len(y) - common)
+
+
+def _verify(documents: DataFrame, pairs: DataFrame, near: Near) -> DataFrame:
+    """The pairs (a, b: keys, with doc_a, doc_b) whose multisets are similar enough."""
+    ids = pairs.select(F.col("doc_a").alias("doc_id")).unionByName(pairs.select(F.col("doc_b").alias("doc_id")))
+    packed = _bags(documents, ids, near)
+    left = packed.withColumnsRenamed({"key": "a", "bag": "bag_a"})
+    right = packed.withColumnsRenamed({"key": "b", "bag": "bag_b"})
 
     def compare(batches):
         for batch in batches:
-            sa, wa, sb, wb = (batch.column(c) for c in ("sa", "wa", "sb", "wb"))
-            kept = []
-            for i in range(batch.num_rows):
-                x, u = np.frombuffer(sa[i].as_buffer(), np.uint64), np.frombuffer(wa[i].as_buffer(), np.int32)
-                y, v = np.frombuffer(sb[i].as_buffer(), np.uint64), np.frombuffer(wb[i].as_buffer(), np.int32)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                same = x[at] == y
-                common = int(np.minimum(u[at[same]], v[same]).sum())
-                kept.append(common >= near.threshold * (int(u.sum()) + int(v.sum()) - common))
+            x, y = batch.column("bag_a"), batch.column("bag_b")
+            kept = [
+                _similar(np.frombuffer(x[i].as_buffer(), np.uint64), np.frombuffer(y[i].as_buffer(), np.uint64), near.threshold)
+                for i in range(batch.num_rows)
+            ]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    return pairs.join(left, "a").join(right, "b").mapInArrow(compare, "a binary, b binary")
-
-
-def _agree(batches: Iterator[pa.RecordBatch], near: Near) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        x = np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in batch.column("ga")]).reshape(batch.num_rows, -1)
-        y = np.array([np.frombuffer(v.as_buffer(), np.uint16) for v in batch.column("gb")]).reshape(batch.num_rows, -1)
-        kept = (x == y).mean(axis=1) >= near.threshold - near.slack if batch.num_rows else np.zeros(0, bool)
-        yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(kept))
+    return pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(compare, "a binary, b binary")
 
 
 def _compare_blocks(pdf, near: Near):
-    """Pairs that agree well enough, in different classes, found at the first band that they share: side 0 of each
-    (band, bucket, i, j) against its side 1, or against itself where there is none."""
+    """Links across classes, found at the first band that a pair shares: side 0 of each (band, bucket, i, j) against its
+    side 1, or against itself where there is none. Of the links of a block, those that join what its earlier ones have not."""
     import pandas as pd
 
     if not len(pdf):
@@ -254,10 +254,18 @@ def _compare_blocks(pdf, near: Near):
     signatures = np.frombuffer(b"".join(pdf["signature"]), np.uint16).reshape(len(pdf), -1)
     bands = np.frombuffer(b"".join(pdf["bands"]), np.int64).reshape(len(pdf), -1)
     key, cls, side = pdf["key"].to_numpy(), pdf["class"].to_numpy(), pdf["side"].to_numpy()
+    found = [np.frombuffer(b, np.uint64) for b in pdf["bag"]]
     group = pdf.groupby(["band", "bucket", "i", "j"], sort=True).ngroup().to_numpy()
     ends = np.flatnonzero(np.diff(group, append=-1)) + 1
     out = []
     for first, last in zip(np.append(0, ends[:-1]), ends):
+        parent: dict[bytes, bytes] = {}
+
+        def root(c):
+            while c in parent:
+                c = parent[c]
+            return c
+
         x = first + np.flatnonzero(side[first:last] == 0)
         y = first + np.flatnonzero(side[first:last] == 1)
         own = len(y) == 0
@@ -265,14 +273,20 @@ def _compare_blocks(pdf, near: Near):
         band = int(pdf["band"].iat[first])
         for i in x:
             to = y[cls[y] != cls[i]]
+            if own:
+                to = to[to > i]
             to = to[(signatures[to] == signatures[i]).mean(axis=1) >= near.threshold - near.slack]
             to = to[~(bands[to, :band] == bands[i, :band]).any(axis=1)]
-            out += [(key[i], key[j]) for j in to if not own or key[i] < key[j]]
+            for j in to:
+                mine, theirs = root(cls[i]), root(cls[j])
+                if mine != theirs and _similar(found[i], found[j], near.threshold):
+                    parent[mine] = theirs
+                    out.append((key[i], key[j]))
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def _rest_pairs(rest: DataFrame, distinct: DataFrame, near: Near) -> DataFrame:
-    """Pairs worth verifying across the classes of mixed buckets. The members of a bucket's largest class
+def _rest_links(documents: DataFrame, rest: DataFrame, distinct: DataFrame, near: Near) -> DataFrame:
+    """Links across the classes of mixed buckets. The members of a bucket's largest class
     meet only the others; both sides go in blocks, so a task holds a few blocks whatever the bucket."""
     other = F.col("class") != F.col("top")
     n_other, n_top = F.ceil((F.col("n") - F.col("n_top")) / near.block).cast("int"), F.ceil(F.col("n_top") / near.block).cast("int")
@@ -292,7 +306,7 @@ def _rest_pairs(rest: DataFrame, distinct: DataFrame, near: Near) -> DataFrame:
     as_top = F.transform(upto(n_other), lambda i: spot(i, own, F.lit(1)))
     spots = F.when(other, F.concat(with_top, with_others)).otherwise(as_top)
     blocks = rest.withColumn("spot", F.explode(spots)).select("band", "bucket", "key", "class", "spot.*")
-    blocks = blocks.join(distinct, "key")
+    blocks = blocks.join(distinct, "key").join(_bags(documents, rest.select("doc_id"), near), "key")
     # Many small blocks share a group; blocks of one bucket rarely do.
     groups = F.lit(max(rest.count() // (2 * near.block), 1) * 4)
     pooled = blocks.withColumn("pool", F.pmod(F.xxhash64("band", "bucket", "i", "j"), groups))
@@ -309,28 +323,25 @@ def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
     all marked. A null id is its class's only if the class has no other. ``text_hash`` tells the texts of one id apart."""
     spark = documents.sparkSession
     signed = materialise(spark, sign(documents, near), "signatures")
-    owners = signed.where("bands is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    distinct = signed.where("bands is not null").dropDuplicates(["key"]).select("key", "bands", "signature")
-    distinct = materialise(spark, distinct, "distinct")
-    sketch = distinct.select("key", "signature")
-    buckets = _buckets(distinct, near)
-    shared = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    one = signed.where("bands is not null").groupBy("key").agg(
+        F.first("bands").alias("bands"), F.first("signature").alias("signature"), F.min("doc_id").alias("doc_id")
+    )
+    one = materialise(spark, one, "distinct")
+    distinct = one.drop("doc_id")
+    buckets = _buckets(one, near)
+    shared = buckets.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("shared")).where("shared > 1")
     buckets = materialise(spark, buckets.join(shared, ["band", "bucket"]), "buckets")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        alike = (
-            pairs.join(sketch.withColumnsRenamed({"key": "a", "signature": "ga"}), "a")
-            .join(sketch.withColumnsRenamed({"key": "b", "signature": "gb"}), "b")
-            .mapInArrow(lambda batches: _agree(batches, near), "a binary, b binary")
-        )
-        return materialise(spark, _verify(documents, owners, materialise(spark, alike, "pairs"), near), "links")
+    # How much a member shares: what many others are copies of has the most.
+    weight = buckets.groupBy("key").agg(F.sum("shared").alias("weight"), F.first("doc_id").alias("doc_id"))
+    weight = materialise(spark, weight, "weights")
 
     links, classes, fresh, turn = None, None, True, 0
     while True:
-        held = buckets.withColumn("class", F.col("key"))
+        held = weight.withColumn("class", F.col("key"))
         if classes is not None:
-            held = buckets.join(classes.withColumnRenamed("node", "key"), "key", "left")
-            held = held.select("band", "bucket", "key", F.coalesce("component", "key").alias("class"))
+            held = weight.join(classes.withColumnRenamed("node", "key"), "key", "left")
+            held = held.select("key", "weight", "doc_id", F.coalesce("component", "key").alias("class"))
+        held = buckets.select("band", "bucket", "key").join(held, "key")
         sizes = held.groupBy("band", "bucket", "class").agg(F.count(F.lit(1)).alias("c"))
         tops = sizes.groupBy("band", "bucket").agg(
             F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "class")).alias("most")
@@ -345,13 +356,18 @@ def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
             break
         final = turn > 0 and (not fresh or across <= near.linear * members)
         if final:
-            pairs = _rest_pairs(rest.drop("squares"), distinct, near)
+            found = _rest_links(documents, rest.drop("squares", "weight"), distinct, near)
         else:
-            drawn = F.min(F.struct(F.xxhash64("key", F.lit(turn)), "key", "class")).alias("hub")
-            hubs = rest.groupBy("band", "bucket").agg(drawn)
+            # After the first round, a member that the largest class has left out.
+            drawn = F.struct("weight", "key", "class", "doc_id")
+            chosen = F.when(F.lit(turn == 0) | (F.col("class") != F.col("top")), drawn)
+            hubs = rest.groupBy("band", "bucket").agg(F.max(chosen).alias("hub"))
             met = rest.join(hubs, ["band", "bucket"]).where(F.col("class") != F.col("hub.class"))
-            pairs = met.select(F.greatest("key", "hub.key").alias("a"), F.least("key", "hub.key").alias("b")).distinct()
-        found = verified(pairs)
+            pairs = met.select(
+                F.col("key").alias("a"), F.col("hub.key").alias("b"), F.col("doc_id").alias("doc_a"), F.col("hub.doc_id").alias("doc_b")
+            )
+            found = _verify(documents, materialise(spark, pairs.distinct(), "pairs"), near)
+        found = materialise(spark, found, "links")
         fresh = not found.isEmpty()
         links = found if links is None else links.unionByName(found)
         if fresh:

@@ -61,7 +61,7 @@ def test_near_duplicates_in_blocks_and_rounds(spark):
         base = list(base)
         for k in range(3):
             base[(7 * i + 60 * k) % 200] = f"edit{i}x{k}"
-    near = bagminhash.Near(block=8, linear=1e9)
+    near = bagminhash.Near(block=8)
     chained = bagminhash.near_duplicates(documents(spark, texts), near).collect()
     plain = bagminhash.near_duplicates(documents(spark, texts), bagminhash.Near(linear=0.0)).collect()
     assert {r.doc_id: r.class_id for r in chained} == {r.doc_id: r.class_id for r in plain}
