@@ -23,14 +23,9 @@ from linewatch.catalog.sources import stored
 from linewatch.catalog.statistics import scored as scored_events
 from linewatch.config import Settings
 from linewatch.functions.labels import best_class, class_probabilities, confidence, downtime_group
-from linewatch.operators.anomaly import fit_mahalanobis
+from linewatch.operators.anomaly import AnomalyModel
 from linewatch.operators.board import latest_predictions
-from linewatch.operators.drift import (
-    DEFAULT_STATS,
-    detect_drift,
-    detector_states,
-    warm_detectors,
-)
+from linewatch.operators.drift import DEFAULT_STATS
 from linewatch.operators.encode import Scaler
 from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.ordering import dense_index
@@ -38,10 +33,10 @@ from linewatch.operators.resample import smote
 from linewatch.operators.score import prediction_record, scored_log
 from linewatch.operators.stats import reference_statistics
 from linewatch.operators.train import assemble, boosted_trees, grid_search, predict
-from linewatch.plans.features import POSITION, feature_table
-from linewatch.schema import TARGET
+from linewatch.plans.features import feature_table
+from linewatch.schema import TARGET, quoted
 from linewatch.session import materialise, run_dir
-from linewatch.sources.bundle import Bundle, load_bundle, save_bundle
+from linewatch.sources.bundle import Bundle, bundle_profile, load_bundle, save_bundle
 from linewatch.sources.messages import message_source, to_messages
 from linewatch.streaming.drift import drift_stream
 from linewatch.streaming.replay import write_replay
@@ -114,43 +109,59 @@ def oversample_wide(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SMALL = Settings(trees=(2, 3), depths=(2,), learning_rates=(0.1,))
+# All four candidates of the grid, small enough for a query.
+GRID = Settings(trees=(2, 4), depths=(2, 3), learning_rates=(0.1,))
+LABEL_SQL = "case when user_id % 3 = 0 then 0 when event_id % 7 < 3 then 1 else 2 end"
 
 
 def learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
-    """Labelled rows for the learners: the kind of an event from what was measured."""
-    df = numbers(spark, sf).selectExpr(
-        "row_id",
-        "s1",
-        "s2",
+    """Whole-number features of few values, so that the bins are exact, and a label that is a function of two of them."""
+    df = table(spark, sf, "events").selectExpr(
+        "event_id as row_id",
         "cast(user_id % 3 as double) as line",
-        "case when s1 > 60 then 2 when s2 > 50 then 1 else 0 end as label",
+        "cast(event_id % 7 as double) as day",
+        "cast(event_id % 2 as double) as noise",
+        f"{LABEL_SQL} as label",
     )
-    return df, ["s1", "s2", "line"]
+    return df, ["line", "day", "noise"]
 
 
-@query("classifier_o76")
+@query("classifier_o76", f"select event_id as row_id, ({LABEL_SQL})::int as label, ({LABEL_SQL})::int as prediction from events")
 def classifier(spark: SparkSession, sf: str) -> DataFrame:
     df, names = learning_table(spark, sf)
     data = materialise(spark, assemble(df, names, ["row_id", "label"]), "learn")
-    model = boosted_trees("label", trees=5, depth=3).fit(data)
+    model = boosted_trees("label", trees=4, depth=3).fit(data)
     return predict(model, data).select("row_id", "label", F.col("prediction").cast("int").alias("prediction"))
 
 
-@query("grid_search_o77")
+@query(
+    "grid_search_o77",
+    """select trees, depth, 0.1::double as rate, 1.0::double as cv_mean, 0.0::double as cv_std, trees = 2 and depth = 2 as best
+      from (values (2), (4)) t(trees), (values (2), (3)) d(depth), (select count(*) from events)""",
+)
 def search(spark: SparkSession, sf: str) -> DataFrame:
+    """Every candidate with its scores over the folds. All are perfect, so the first is the best."""
     df, names = learning_table(spark, sf)
-    result = grid_search(materialise(spark, df, "learn"), names, "label", "row_id", SMALL)
-    rows = [(n, float(v)) for n, v in result.best.items()] + [("cv_recall", result.cv_recall)]
-    return spark.createDataFrame(rows, "name string, value double")
+    result = grid_search(materialise(spark, df, "learn"), names, "label", "row_id", GRID)
+    rows = [
+        (c["n_estimators"], c["max_depth"], c["learning_rate"], round(c["cv_mean"], 6), round(c["cv_std"], 6),
+         all(c[k] == v for k, v in result.best.items()))
+        for c in result.candidates
+    ]
+    return spark.createDataFrame(rows, "trees int, depth int, rate double, cv_mean double, cv_std double, best boolean")
 
 
-@query("cross_validation_o78")
+@query(
+    "cross_validation_o78",
+    """select count(*) as rows, 1.0::double as cv_mean, 0.0::double as cv_std from events""",
+)
 def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     df, names = learning_table(spark, sf)
     one = Settings(trees=(2,), depths=(2,), learning_rates=(0.1,))
-    result = grid_search(materialise(spark, df, "learn"), names, "label", "row_id", one)
-    return spark.createDataFrame([(result.cv_mean, result.cv_std)], "cv_mean double, cv_std double")
+    learn = materialise(spark, df, "learn")
+    result = grid_search(learn, names, "label", "row_id", one)
+    row = (learn.count(), round(result.cv_mean, 6), round(result.cv_std, 6))
+    return spark.createDataFrame([row], "rows bigint, cv_mean double, cv_std double")
 
 
 PROBABILITY_SQL = """p as (select row_id, s1 + 1 as a, s2 + 1 as b, s1 + s2 + 1 as c, 20.0::double as d from numbers),
@@ -227,18 +238,38 @@ def log(spark: SparkSession, sf: str) -> DataFrame:
 
 _bundles: dict[tuple[str, str], str] = {}
 
+TORQUE, VOLTAGE = SENSORS
+NO_COUNTER = Settings(include_row_id_feature=False)
+
+
+def learnable(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw rows whose class ten rows ahead is a function of the torque, and whose voltage steps."""
+    events = table(spark, sf, "events").selectExpr("event_id", "user_id", "cast(get_json_object(props, '$.k') as int) % 5 as k")
+    earlier = events.select((F.col("event_id") + 10).alias("event_id"), F.col("k").alias("before"))
+    return events.join(earlier, "event_id", "left").selectExpr(
+        "event_id as row_id",
+        "'2024-01-01' as Date",
+        "'10:20:30' as Timestamp",
+        "concat('M', user_id % 6) as Machine_ID",
+        "concat('L', user_id % 3) as Assembly_Line_No",
+        f"cast(k as string) as `{TORQUE}`",
+        f"cast(event_id div 160 % 2 * 10 as string) as `{VOLTAGE}`",
+        "case when before < 2 then 'Machine_Failure' when before = 2 then 'Planned_Stop' else 'No_Machine_Failure' end as Downtime",
+    )
+
 
 def small_bundle(spark: SparkSession, sf: str) -> Bundle:
-    """A bundle fitted on the machine events, kept in the shared folder for the
-    queries that score with it."""
+    """A bundle fitted on learnable events, kept in the shared folder for the
+    queries that score with it. Its anomalies are extreme torques."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _bundles:
         path = run_dir(spark, "bundle")
-        made = feature_table(machine_events(spark, sf), SENSORS, MACHINES)
+        made = feature_table(learnable(spark, sf), SENSORS, MACHINES, NO_COUNTER)
         frame = materialise(spark, made.frame, "features")
         scaler = Scaler.fit(frame, made.features)
         scaled = materialise(spark, scaler.transform(frame), "scaled")
         data = assemble(scaled, made.features, [TARGET])
+        weights = [[float(i == j and f == TORQUE) for j in range(len(made.features))] for i, f in enumerate(made.features)]
         fitted = Bundle(
             sensors=SENSORS,
             categories=made.categories,
@@ -246,8 +277,7 @@ def small_bundle(spark: SparkSession, sf: str) -> Bundle:
             classes=made.classes,
             sensor_fit=made.sensor_fit,
             scaler=scaler,
-            anomaly=fit_mahalanobis(scaled, made.features),
-            drift_states=detector_states(warm_detectors(scaled, made.features, order=POSITION)),
+            anomaly=AnomalyModel([0.0] * len(made.features), weights, 100.0),
             reference_stats={
                 r["feature"]: {s: r[s] for s in DEFAULT_STATS}
                 for r in reference_statistics(scaled, made.features).collect()
@@ -259,70 +289,98 @@ def small_bundle(spark: SparkSession, sf: str) -> Bundle:
     return load_bundle(spark, _bundles[key])
 
 
+@query(
+    "bundle_profile_o26",
+    """with n as (select 12 + count(distinct user_id % 6) + count(distinct user_id % 3) as f from events)
+      select 'classes' as name, 'Machine_Issue,Normal,Operations' as value union all select 'features', f::varchar from n
+      union all select 'sensors', '2' union all select 'reference_statistics', f::varchar from n
+      union all select 'detector_states', '0' union all select 'threshold', '100.0' union all select 'models', '3'""",
+)
+def bundle_contents(spark: SparkSession, sf: str) -> DataFrame:
+    """A fitted bundle with a model, saved, loaded and listed."""
+    return bundle_profile(spark, small_bundle(spark, sf))
+
+
+def sent_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """What machines send: the counter under the sender's name, an extreme torque now and then, no machine now and then, a
+    field that nobody asked for, and a voltage that steps along the good messages."""
+    rows = table(spark, sf, "events").selectExpr(
+        "event_id", "user_id", "cast(get_json_object(props, '$.k') as int) % 5 as k", "event_id % 29 >= 2 as good"
+    )
+    placed = dense_index(rows, "event_id", by=["good"], out="p")
+    return placed.selectExpr(
+        "event_id as `Unnamed: 0`",
+        "'2024-01-01' as Date",
+        "'10:20:30' as Timestamp",
+        "case when good then concat('M', user_id % 6) end as Machine_ID",
+        "concat('L', user_id % 3) as Assembly_Line_No",
+        f"cast(case when event_id % 97 = 0 then 1000 else k end as string) as `{TORQUE}`",
+        f"cast(p div 160 % 2 * 10 as string) as `{VOLTAGE}`",
+        "concat('S', user_id) as Shift",
+    )
+
+
 def sent_messages(spark: SparkSession, sf: str) -> DataFrame:
-    return to_messages(machine_events(spark, sf)).select("value")
+    return to_messages(sent_rows(spark, sf)).select("value")
 
 
-GOOD_SQL = f"""{RAW_SQL}, sent as (select row_id as seq, machine as machine_id, line as assembly_line_no
-  from raw where machine is not null)"""
+# Two rounds of boosting on a perfect split: 1, and a tenth of the loss's gradient there.
+GOOD_SQL = """g as (select event_id, row_number() over (order by event_id) - 1 as p, user_id,
+      json_extract_string(props, '$.k')::int % 5 as k from events where event_id % 29 >= 2),
+  m as (select 1 / (1 + exp(-2 * (1 + 0.1 * 4 / (1 + exp(2))))) as hit),
+  sent as (select event_id, p, concat('M', user_id % 6) as machine_id, concat('L', user_id % 3) as assembly_line_no, concat('S', user_id) as shift,
+    case when event_id % 97 <> 0 and k < 2 then 'Machine_Issue' when event_id % 97 <> 0 and k = 2 then 'Operations' else 'Normal' end as predicted,
+    round(hit / (hit + 2 * (1 - hit)), 4) as confidence, event_id % 97 = 0 as is_anomaly, p >= 160 and p % 160 = 31 as drift from g, m)"""
 
 
 @query(
     "score_messages_o79",
-    f"with {GOOD_SQL} select seq, machine_id, assembly_line_no, true as known_class, true as sound from sent",
+    f"with {GOOD_SQL} select event_id as seq, machine_id, assembly_line_no, predicted, confidence, is_anomaly from sent",
 )
 def score_table(spark: SparkSession, sf: str) -> DataFrame:
     """The scoring projection on a stored table of messages. Messages without a
     machine are refused."""
-    fitted = small_bundle(spark, sf)
-    scored = score(sent_messages(spark, sf), fitted)
-    total = F.aggregate("probabilities", F.lit(0.0), lambda a, b: a + b)
-    sound = (F.abs(total - 1) < 1e-9) & (F.col("confidence") >= 1.0 / len(fitted.classes) - 1e-9)
+    scored = score(sent_messages(spark, sf), small_bundle(spark, sf))
     return scored.select(
         "seq",
         "machine_id",
         "assembly_line_no",
-        F.col("predicted_downtime").isin(fitted.classes).alias("known_class"),
-        sound.alias("sound"),
+        F.col("predicted_downtime").alias("predicted"),
+        r6("confidence", 4).alias("confidence"),
+        "is_anomaly",
     )
 
 
 @query(
     "score_stream_o90",
-    f"""with {GOOD_SQL} select seq, machine_id, assembly_line_no, true as as_stored, true as logged from sent
-      union all select row_id, null, line, false, false from raw where machine is null""",
+    f"""with {GOOD_SQL} select p as seq, event_id, machine_id, assembly_line_no, predicted, confidence, is_anomaly, drift, shift from sent
+      union all select null, event_id, null, concat('L', user_id % 3), null, null, null, null, null from events where event_id % 29 < 2""",
 )
 def streamed(spark: SparkSession, sf: str) -> DataFrame:
-    """Stream results next to the same projection on the stored table, the log
-    files, and the refused messages."""
+    """Predictions, log files, drift and refused messages of a stream."""
     fitted = small_bundle(spark, sf)
     source, results = run_dir(spark, "sent"), run_dir(spark, "results")
-    write_replay(machine_events(spark, sf), source, rows_per_file=5000)
+    write_replay(sent_rows(spark, sf), source, rows_per_file=5000, order="Unnamed: 0")
     stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
     score_stream(stream, fitted, results, run_dir(spark, "results-checkpoint")).awaitTermination()
-    made = spark.read.parquet(f"{results}/predictions")
-    stored_rows = score(sent_messages(spark, sf), fitted).select(
-        "seq", F.col("predicted_downtime").alias("other"), F.col("confidence").alias("other_confidence")
-    )
-    logged = spark.read.option("header", True).csv(f"{results}/log").select(
-        F.col("row_id").cast("bigint").alias("seq"), F.col("Downtime").alias("log_class")
-    )
-    same = (F.col("predicted_downtime") == F.col("other")) & (F.col("confidence") == F.col("other_confidence"))
-    good_rows = made.join(stored_rows, "seq", "left").join(logged, "seq", "left").select(
-        "seq",
-        "machine_id",
-        "assembly_line_no",
-        F.coalesce(same, F.lit(False)).alias("as_stored"),
-        F.coalesce(F.col("log_class") == F.col("predicted_downtime"), F.lit(False)).alias("logged"),
+    logged = spark.read.option("header", True).option("escape", '"').csv(f"{results}/log").select(
+        F.col(quoted("Unnamed: 0")).cast("bigint").alias("event_id"),
+        F.col("Downtime").alias("predicted"),
+        F.col("Is_Anomaly").cast("boolean").alias("is_anomaly"),
+        F.get_json_object("Extra", "$.Shift").alias("shift"),
     )
+    counters = spark.read.parquet(f"{results}/scored").select("seq", F.col(f"data.{quoted('Unnamed: 0')}").cast("bigint").alias("event_id"))
+    drifted = spark.read.parquet(f"{results}/drift").where(F.col("feature") == VOLTAGE).select("seq", F.lit(True).alias("drift"))
+    made = spark.read.parquet(f"{results}/predictions").join(counters, "seq").join(drifted, "seq", "left").join(logged, "event_id")
+    good_rows = made.where(F.col("predicted") == F.col("predicted_downtime")).select(
+        "seq", "event_id", "machine_id", "assembly_line_no", "predicted", r6("confidence", 4).alias("confidence"), "is_anomaly",
+        F.coalesce("drift", F.lit(False)).alias("drift"), "shift",
+    )
     dead = spark.read.text(f"{results}/dead").select(
-        F.get_json_object("value", "$.row_id").cast("bigint").alias("seq"),
-        F.lit(None).cast("string").alias("machine_id"),
+        F.get_json_object("value", "$['Unnamed: 0']").cast("bigint").alias("event_id"),
         F.get_json_object("value", "$.Assembly_Line_No").alias("assembly_line_no"),
-        F.lit(False).alias("as_stored"),
-        F.lit(False).alias("logged"),
     )
-    return good_rows.unionByName(dead)
+    return good_rows.unionByName(dead, allowMissingColumns=True)
 
 
 @query(
@@ -335,47 +393,37 @@ def streamed(spark: SparkSession, sf: str) -> DataFrame:
           0.99 * m2 + 0.01 * x.s2, 0.99 * v2 + 0.01 * (x.s2 - m2) * (x.s2 - m2)
         from e join x on x.i = e.i + 1),
       l as (select * from e where i = (select max(i) from x)),
-      n as (select count(*) as n from events)
-    select 's1' as feature, n as messages, 0::bigint as unlike_stored, round(m1, 6) as mean, round(sqrt(v1), 6) as std,
+      n as (select count(*) as n from events),
+      g as (select event_id, user_id % 2 as machine, row_number() over (partition by user_id % 2 order by event_id) - 1 as p from events)
+    select 's1' as feature, n as messages, round(m1, 6) as mean, round(sqrt(v1), 6) as std,
       least(0.0, (select min(s1) from x)) as min, greatest(1.0, (select max(s1) from x)) as max, (select count(*) from x) as count from l, n
-    union all select 's2', n, 0, round(m2, 6), round(sqrt(v2), 6), least(0.0, (select min(s2) from x)),
-      greatest(1.0, (select max(s2) from x)), (select count(*) from x) from l, n""",
+    union all select 's2', n, round(m2, 6), round(sqrt(v2), 6), least(0.0, (select min(s2) from x)),
+      greatest(1.0, (select max(s2) from x)), (select count(*) from x) from l, n
+    union all select concat('step of ', machine), event_id, null, null, null, null, null from g where p >= 160 and p % 160 = 31""",
 )
 def streamed_drift(spark: SparkSession, sf: str) -> DataFrame:
-    """Detectors and moving statistics on a stream; the verdicts are compared with
-    the detectors on the stored table."""
-    df = numbers(spark, sf).select("row_id", "s1", "s2")
-    source = run_dir(spark, "numbers")
-    write_replay(df, source, rows_per_file=5000)
+    """Moving statistics, and each machine's detector on its stepping series, over a stream."""
+    rows = numbers(spark, sf).selectExpr("row_id", "s1", "s2", "user_id % 2 as machine")
+    df = dense_index(rows, by=["machine"], out="p").selectExpr("row_id", "s1", "s2", "machine", "p div 160 % 2 * 10D as step")
+    source, results = run_dir(spark, "numbers"), run_dir(spark, "drift")
+    write_replay(df, source, rows_per_file=3333)
     lines = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
-    parsed = lines.select(F.from_json("value", "row_id bigint, s1 double, s2 double").alias("m")).select("m.*")
-    streamed_rows = stored(drift_stream(parsed, ["s1", "s2"]), "drift")
-    kept = detect_drift(df, ["s1", "s2"]).select(
-        "feature", "seq", F.col("drift_detected").alias("d"), F.col("variance").alias("v")
-    )
-    joined = streamed_rows.join(kept, ["feature", "seq"], "left")
-    same = (F.col("drift_detected") == F.col("d")) & (F.col("variance") == F.col("v"))
-    last = F.max_by(F.struct("ref_mean", "ref_std", "ref_min", "ref_max", "ref_count"), F.col("seq"))
-    ends = joined.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(~F.coalesce(same, F.lit(False))).alias("unlike_stored"),
-        last.alias("r"),
-    )
+    kind = "row_id bigint, s1 double, s2 double, machine bigint, step double"
+    parsed = lines.select(F.from_json("value", kind).alias("m")).select("m.*")
+    drift_stream(parsed, ["s1", "s2", "step"], results, run_dir(spark, "drift-checkpoint"), by=["machine"]).awaitTermination()
+    last = spark.read.parquet(f"{results}/stats").where("feature <> 'step'")
+    ends = last.groupBy("feature").agg(F.max_by(F.struct("*"), "batch_id").alias("r")).select("r.*")
+    changes = spark.read.parquet(f"{results}/changes").where("feature = 'step'")
     return ends.select(
-        "feature",
-        "messages",
-        "unlike_stored",
-        r6(F.col("r.ref_mean")).alias("mean"),
-        r6(F.col("r.ref_std")).alias("std"),
-        F.col("r.ref_min").alias("min"),
-        F.col("r.ref_max").alias("max"),
-        F.col("r.ref_count").alias("count"),
+        "feature", F.col("seen").alias("messages"), r6("mean").alias("mean"), r6("std").alias("std"), "min", "max", "count"
+    ).unionByName(
+        changes.select(F.concat(F.lit("step of "), "machine").alias("feature"), F.col("seq").alias("messages")), allowMissingColumns=True
     )
 
 
 @query(
     "result_store_o92",
-    f"with {GOOD_SQL} select seq, machine_id from sent order by seq desc limit 100",
+    f"with {GOOD_SQL} select event_id as seq, machine_id from sent order by event_id desc limit 100",
 )
 def result_store(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions appended by a stream, and the newest 100 of them."""

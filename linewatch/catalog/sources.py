@@ -17,6 +17,7 @@ from linewatch.catalog.base import (
     r6,
     table,
 )
+from linewatch.config import DEFAULTS
 from linewatch.operators.encode import Scaler, fit_labels, fit_one_hot
 from linewatch.operators.quantiles import medians
 from linewatch.operators.stats import value_counts
@@ -189,7 +190,7 @@ def decoded(spark: SparkSession, sf: str) -> DataFrame:
 def log_files(spark: SparkSession, sf: str) -> DataFrame:
     """Log rows through files of at most 100 rows, counted per file."""
     path = run_dir(spark, "log")
-    write_log(table(spark, sf, "events").select("event_id", "event_type"), path, 0)
+    write_log(table(spark, sf, "events").select("event_id", "event_type"), path, 0, DEFAULTS.log_rows)
     back = spark.read.schema("event_id bigint, event_type string").option("header", True).csv(f"{path}/batch_id=0")
     named = back.select("*", F.col("_metadata.file_path").alias("file"))
     sizes = named.groupBy("file").agg(F.count(F.lit(1)).alias("rows"))

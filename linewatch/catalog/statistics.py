@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linewatch.catalog.base import (
+    hash_sql,
     LINE_FEATURES,
     NUMBERS_SQL,
     numbers,
@@ -23,6 +24,7 @@ from linewatch.operators.drift import (
 from linewatch.operators.encode import Scaler, fit_labels, fit_one_hot, label_encode, one_hot
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
 from linewatch.operators.metrics import CONFIDENCE_BUCKETS, drifted_features, service_counters
+from linewatch.operators.ordering import dense_index
 from linewatch.operators.quantiles import exact_percentiles, medians
 from linewatch.operators.stats import (
     covariance_rows,
@@ -47,10 +49,20 @@ def sql_rows(columns: list[str], row: str) -> str:
         ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"],
         "select '{c}' as column_name, count(*) as rows, count({c}) as non_null, "
         "min({c})::varchar as min_value, max({c})::varchar as max_value from orders",
-    ),
+    )
+    + """ union all select 'o_totalprice', count(*), count(o_totalprice), printf('%.2f', min(o_totalprice)), printf('%.2f', max(o_totalprice)) from orders
+      union all select 'o_orderdate', count(*), count(o_orderdate), strftime(min(o_orderdate), '%Y-%m-%d %H:%M:%S'),
+        strftime(max(o_orderdate), '%Y-%m-%d %H:%M:%S') from orders""",
 )
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile(table(spark, sf, "orders").drop("o_totalprice", "o_orderdate"))
+    """All columns; the price is printed with two places, as its text differs between engines."""
+    found = profile(table(spark, sf, "orders"))
+    price = F.col("column_name") == "o_totalprice"
+
+    def shown(c: str):
+        return F.when(price, F.format_string("%.2f", F.col(c).try_cast("double"))).otherwise(F.col(c)).alias(c)
+
+    return found.select("column_name", "rows", "non_null", shown("min_value"), shown("max_value"))
 
 
 @query("value_counts_o30", "select event_type, count(*) as n from events group by event_type")
@@ -337,14 +349,37 @@ def anomalies(spark: SparkSession, sf: str) -> DataFrame:
     return lines.select(*PAIR, is_anomalous(distance, m.threshold).alias("anomalous"))
 
 
-@query("detect_drift_o55")
+# A series that steps between two levels every STEP values: the detector sees it at the end of the first block after the step.
+STEP = 160
+SEEN = "{p} >= {step} and {p} % {step} = 31"
+
+
+@query(
+    "detect_drift_o55",
+    f"""with p as (select event_id, user_id % 4 as machine, row_number() over (partition by user_id % 4 order by event_id) - 1 as p from events)
+      select machine::varchar as machine, 'x' as feature, event_id as seq from p where {SEEN.format(p="p", step=STEP)}
+      union all select machine::varchar, 'y', event_id from p where {SEEN.format(p="p", step=2 * STEP)}""",
+)
 def drift(spark: SparkSession, sf: str) -> DataFrame:
-    return detect_drift(numbers(spark, sf), ["s1", "s2"])
+    """Each machine's own stepping series, and a constant that never drifts."""
+    rows = table(spark, sf, "events").selectExpr("event_id as row_id", "user_id % 4 as machine")
+    placed = dense_index(rows, by=["machine"], out="p").selectExpr(
+        "row_id", "machine", f"(p div {STEP}) % 2 * 10D as x", f"(p div {2 * STEP}) % 2 * -3D as y", "7D as z"
+    )
+    return detect_drift(placed, ["x", "y", "z"], by=["machine"]).select("machine", "feature", "seq")
 
 
-@query("drift_per_message_o56")
+@query(
+    "drift_per_message_o56",
+    f"""with f as (select event_id as seq, {SEEN.format(p="event_id", step=STEP)} as x, {SEEN.format(p="event_id", step=2 * STEP)} as y from events)
+      select seq, x or y as drift_detected, case when x and y then 'x,y' when x then 'x' when y then 'y' else '' end as features from f""",
+)
 def drift_roll_up(spark: SparkSession, sf: str) -> DataFrame:
-    return drift_per_message(detect_drift(numbers(spark, sf), ["s1", "s2"]))
+    rows = table(spark, sf, "events").selectExpr(
+        "event_id as row_id", f"(event_id div {STEP}) % 2 * 10D as x", f"(event_id div {2 * STEP}) % 2 * -3D as y", "7D as z"
+    )
+    rolled = drift_per_message(detect_drift(rows, ["x", "y", "z"]), rows.withColumnRenamed("row_id", "seq"))
+    return rolled.select("seq", "drift_detected", F.array_join("drifted_features", ",").alias("features"))
 
 
 @query(
@@ -364,16 +399,24 @@ def drift_roll_up_given(spark: SparkSession, sf: str) -> DataFrame:
             )
         ),
     )
-    rolled = drift_per_message(flags)
+    rolled = drift_per_message(flags.where("newly_drifted"), df.withColumnRenamed("row_id", "seq"))
     listed = F.concat(F.lit("["), F.array_join("drifted_features", ", "), F.lit("]"))
     return rolled.select("seq", "drift_detected", listed.alias("features"))
 
 
-@query("warm_detectors_o57")
+@query(
+    "warm_detectors_o57",
+    f"""with {NUMBERS_SQL}, sample as (select * from numbers order by {hash_sql(42, "row_id")}, row_id limit 1000)
+      select 's2' as feature, count(*) as seen, round(sum(s2), 4) as total, false as drifted from sample
+      union all select 'constant', count(*), round(sum(7.0::double), 4), false from sample""",
+)
 def warm(spark: SparkSession, sf: str) -> DataFrame:
-    return warm_detectors(numbers(spark, sf), ["s1", "s2"]).select(
-        "feature", "levels", "total", "spread", "ticks", "drifted"
-    )
+    """How many values the detectors have seen, and their sum: that of the hash-ordered sample."""
+    states = warm_detectors(numbers(spark, sf).withColumn("constant", F.lit(7.0)), ["s2", "constant"])
+    kind = "width bigint, total double, drifted boolean, seen bigint, pending array<double>"
+    parsed = states.select("feature", F.from_json("state", kind).alias("s"))
+    total = F.col("s.total") + F.col("s.pending")[1]
+    return parsed.select("feature", F.col("s.seen").alias("seen"), r6(total, 4).alias("total"), F.col("s.drifted").alias("drifted"))
 
 
 @query(

@@ -16,6 +16,7 @@ from pyspark.sql.window import Window, WindowSpec
 
 from linewatch.config import DEFAULTS
 from linewatch.schema import ROW_ID, quoted
+from linewatch.session import materialise
 
 BUCKET = "_bucket"
 POSITION = "_pos"
@@ -83,6 +84,23 @@ def dense_index(
     return joined.select(*columns, index.alias(out))
 
 
+def ordered_index(df: DataFrame, columns: Sequence[str], out: str, rows_per_part: int = 1_000_000) -> DataFrame:
+    """Gap-free position by several columns of any type, over a stored table: parts of the sorted rows are numbered each,
+    and what comes before a part is summed over one row per part. Equal rows go in any order."""
+    spark = df.sparkSession
+    parts = df.count() // rows_per_part + 1
+    cut = df.repartitionByRange(parts, *[F.col(quoted(c)) for c in columns])
+    cut = cut.sortWithinPartitions(*[F.col(quoted(c)) for c in columns])
+    # The number of a row holds its partition in the upper bits and its place in the lower 33.
+    stored = materialise(spark, cut.withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    place, part = F.col("_at").bitwiseAND((1 << 33) - 1), F.shiftright("_at", 33)
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    joined = stored.withColumn("_part", part).join(sizes, "_part")
+    return joined.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_before") + place).cast("bigint").alias(out))
+
+
 def dense_from(df: DataFrame, order: str = ROW_ID) -> int | None:
     """The first value of ``order`` if its values are whole numbers without gap, repeat or null, else None.
 

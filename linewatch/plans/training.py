@@ -15,13 +15,15 @@ from linewatch.operators.drift import detector_states, warm_detectors
 from linewatch.operators.encode import Scaler
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
 from linewatch.operators.resample import smote
-from linewatch.operators.split import split_at, test_split_point
+from linewatch.operators.ordering import dense_from, dense_index
+from linewatch.operators.split import raw_split_point, split_at, test_split_point
 from linewatch.operators.stats import reference_statistics, value_counts
 from linewatch.operators.train import SearchResult, assemble, grid_search, predict
 from linewatch.plans.features import POSITION, feature_table
-from linewatch.schema import CATEGORIES, GROUP, SENSORS, TARGET, quoted
+from linewatch.schema import CATEGORIES, GROUP, ROW_ID, SENSORS, TARGET, quoted
 from linewatch.session import materialise
-from linewatch.sources.bundle import Bundle
+from linewatch.sources.bundle import Bundle, save_bundle
+from linewatch.sources.runlog import append_run, run_rows
 
 
 @dataclass
@@ -44,6 +46,34 @@ def numbered_rows(grown: DataFrame, features: Sequence[str], label: str, seed: i
     return grown.withColumn(POSITION, number.otherwise(stable_hash(name, values, seed=seed))).drop("draw")
 
 
+def training_job(
+    raw: DataFrame,
+    bundle_path: str,
+    runs_path: str,
+    run_id: str,
+    sensors: Sequence[str] = SENSORS,
+    categories: Sequence[str] = CATEGORIES,
+    settings: Settings = DEFAULTS,
+    groups: dict[str, list[str]] | None = None,
+) -> TrainingResult:
+    """Split, train, log and save. The first ``raw_train_share`` of the rows are trained on; the run log gets all params and
+    metrics, and the bundle becomes visible last."""
+    spark = raw.sparkSession
+    point = raw_split_point(raw.count(), settings.raw_train_share)
+    low = dense_from(raw, ROW_ID)
+    if low is not None:
+        train_part, _ = split_at(raw, point + low)
+    else:
+        ranked = materialise(spark, dense_index(raw, ROW_ID, out="_rank"), "ranked")
+        train_part = split_at(ranked, point, "_rank")[0].drop("_rank")
+    result = train(train_part, sensors, categories, settings, groups)
+    result.params = {"initial_rows": raw.count(), "initial_columns": len(raw.columns), "train_rows_after_split": point, **result.params}
+    append_run(run_rows(spark, run_id, "param", result.params), runs_path)
+    append_run(run_rows(spark, run_id, "metric", result.metrics), runs_path)
+    save_bundle(spark, result.bundle, bundle_path)
+    return result
+
+
 def train(
     raw: DataFrame,
     sensors: Sequence[str] = SENSORS,
@@ -115,4 +145,9 @@ def train(
         "cv_recall_std": search.cv_std,
         "test_recall_score": recall,
     }
-    return TrainingResult(bundle, search, classification_report(counts), recall, params, metrics)
+    report = materialise(spark, classification_report(counts), "report")
+    named = {str(i): c for i, c in enumerate(made.classes)}
+    for r in report.collect():  # a row per class and average
+        name = named.get(r.class_name, r.class_name).replace(" ", "_")
+        metrics |= {f"{name}_{m}": r[m] for m in ("precision", "recall", "f1") if r[m] is not None}
+    return TrainingResult(bundle, search, report, recall, params, metrics)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 ROW_ID = "row_id"
+# Fixed value: the row counter as publishers of the raw table send it.
+SENT_ROW_ID = "Unnamed: 0"
 
 # Sensor columns of the raw table.
 SENSORS = [

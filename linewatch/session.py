@@ -43,9 +43,20 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir[0]
 
 
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def run_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared one for a table or a stream checkpoint."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared one for a table or a stream checkpoint. All folders of a session lie in one, until
+    :func:`release`."""
+    return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this session has stored. Tables that read it are void afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(spark: SparkSession, df, name: str):

@@ -30,7 +30,9 @@ def to_messages(df: DataFrame, drop: Sequence[str] = ("Downtime",), key: str = "
     return df.select(F.col(quoted(key)).cast("string").alias("key"), value)
 
 
-def kafka_options(servers: str, topic: str, user: str, password: str) -> dict[str, str]:
+def kafka_options(
+    servers: str, topic: str, user: str, password: str, per_trigger: int = 100_000
+) -> dict[str, str]:
     """Reader options for a TLS broker with a user and password, from the start
     of the topic."""
     login = "org.apache.kafka.common.security.plain.PlainLoginModule"
@@ -38,19 +40,29 @@ def kafka_options(servers: str, topic: str, user: str, password: str) -> dict[st
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": str(per_trigger),
         "kafka.security.protocol": "SASL_SSL",
         "kafka.sasl.mechanism": "PLAIN",
         "kafka.sasl.jaas.config": f'{login} required username="{user}" password="{password}";',
     }
 
 
+#: Columns that order the messages of a log, where the source has them.
+SOURCE_ORDER = ["sent_at", "partition", "offset"]
+
+
 def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
-    """A stream of ``value`` text from ``{"kind": "kafka", ...options}`` or
-    ``{"kind": "files", "path": ..., "files_per_trigger": ...}``."""
+    """A stream of ``value`` text from ``{"kind": "kafka", ...options}``, with the message's timestamp, partition and
+    offset, or ``{"kind": "files", "path": ..., "files_per_trigger": ...}``. A log must come with
+    ``maxOffsetsPerTrigger``, which bounds a micro-batch."""
     options = {k: v for k, v in config.items() if k not in ("kind", "path", "files_per_trigger")}
     if config["kind"] == "kafka":
+        if "maxOffsetsPerTrigger" not in options:
+            raise ValueError("set maxOffsetsPerTrigger: it bounds what one micro-batch holds")
         stream = spark.readStream.format("kafka").options(**options).load()
-        return stream.select(F.col("value").cast("string").alias("value"))
+        return stream.select(
+            F.col("value").cast("string").alias("value"), F.col("timestamp").alias("sent_at"), "partition", "offset"
+        )
     if config["kind"] == "files":
         per_trigger = str(config.get("files_per_trigger", 1))
         reader = spark.readStream.options(**options).option("maxFilesPerTrigger", per_trigger)
@@ -59,9 +71,10 @@ def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
 
 
 def decode(messages: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """``value`` to ``machine_id, assembly_line_no, data`` and ``_bad``.
+    """``value`` to ``machine_id, assembly_line_no, data``, ``extra`` and ``_bad``.
 
-    All payload fields are read as text, so one odd value costs that value only.
+    All payload fields are read as text, so one odd value costs that value only; ``extra`` maps the fields that are not
+    asked for to their text, and is null without any.
     ``_bad`` holds the text of a message that is no JSON object or names no
     machine or line.
     """
@@ -73,10 +86,13 @@ def decode(messages: DataFrame, fields: Sequence[str]) -> DataFrame:
     bad = (
         F.col("_m").isNull() | F.col("_m").getField(BAD).isNotNull() | machine.isNull() | line.isNull()
     )
+    everything = F.from_json("value", "map<string,string>")
+    extra = F.map_filter(everything, lambda k, _: ~k.isin(names))
     return parsed.select(
         machine.alias("machine_id"),
         line.alias("assembly_line_no"),
         F.struct(*[F.col("_m").getField(n).alias(n) for n in names]).alias("data"),
+        F.when(F.size(extra) > 0, extra).alias("extra"),
         F.when(bad, F.coalesce("value", F.lit(""))).alias(BAD),
         *[c for c in messages.columns if c not in ("key", "value")],
     )

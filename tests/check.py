@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -36,8 +37,10 @@ def connect(sf: str) -> duckdb.DuckDBPyConnection:
 
 
 def _cell(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None:
         return None
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
     if hasattr(v, "item"):
         v = v.item()
     return v
@@ -76,14 +79,14 @@ def compare(spark, con, name: str, query, sql: str | None, sf: str) -> tuple[boo
 
 def main() -> None:
     import __spark_entry__ as entry
-    from linewatch.session import build_session
+    from linewatch.session import build_session, release
 
     sf = "/root/testdata/sf" + (sys.argv[1] if len(sys.argv) > 1 else "0.01")
     wanted = sys.argv[2:]
     spark = build_session(
         master="local[8]",
         **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g",
-           "spark.ui.showConsoleProgress": "false"},
+           "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": "file:" + tempfile.mkdtemp(prefix="check-")},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
@@ -98,6 +101,7 @@ def main() -> None:
             ok, text = False, f"{name}: {type(e).__name__} {str(e)[:1500]}"
         bad += not ok
         print(("ok   " if ok else "FAIL ") + text, flush=True)
+    release(spark)
     print(f"{bad} failures")
 
 

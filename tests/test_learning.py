@@ -1,5 +1,7 @@
 """Neighbours, resampling, classifiers, and the whole training job."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from linewatch.operators.resample import neighbour_count, smote
 from linewatch.operators.split import split_at
 from linewatch.operators.train import assemble, boosted_trees, grid_search, predict
 from linewatch.plans.features import feature_table
-from linewatch.plans.training import train
+from linewatch.plans.training import training_job
 from linewatch.schema import CATEGORIES, SENSORS, TARGET
 from linewatch.session import run_dir
 from linewatch.sources.bundle import load_bundle, save_bundle
@@ -153,14 +155,20 @@ def test_feature_table_of_a_short_table(spark):
 def test_training_job(spark):
     raw = sensor_table(spark)
     settings = Settings(trees=(2,), depths=(2,), folds=2, drift_sample_rows=100)
-    result = train(raw, settings=settings)
+    path, runs = run_dir(spark, "bundle"), run_dir(spark, "runs")
+    result = training_job(raw.unionByName(raw.withColumn("row_id", F.col("row_id") + 400).limit(71)), path, runs, "r1", settings=settings)
     assert result.metrics["train_size"] + result.metrics["test_size"] == 390
     assert result.metrics["test_size"] == 59
     assert result.params["final_columns_after_encoding"] == 65
     assert sum(v for k, v in result.params.items() if k.startswith("target_class_")) == 390
     assert sum(v for k, v in result.params.items() if k.startswith("downtime_group_")) == 400
     assert {r.class_name for r in result.report.collect()} >= {"accuracy", "macro avg", "weighted avg"}
-    path = run_dir(spark, "bundle")
+    logged = {r.name: r.value for r in spark.read.parquet(runs).collect()}
+    assert logged["initial_rows"] == "471" and logged["train_rows_after_split"] == "400" and logged["train_size"] == "331"
+    assert {"Normal_precision", "Normal_recall", "Normal_f1", "test_recall_score"} <= set(logged)
+    save_bundle(spark, replace(result.bundle, model=None), path)
+    with pytest.raises(FileNotFoundError):
+        load_bundle(spark, path)  # no older model under a newer bundle
     save_bundle(spark, result.bundle, path)
     loaded = load_bundle(spark, path)
     assert loaded.features == result.bundle.features

@@ -5,17 +5,15 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from linewatch.catalog.models import small_bundle
-from linewatch.catalog.base import machine_events
-from linewatch.operators.drift import detect_drift, moving_statistics
-from linewatch.operators.ordering import dense_index
+from linewatch.catalog.models import sent_rows, small_bundle
+from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, moving_statistics
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
 from linewatch.streaming.drift import drift_stream
 from linewatch.streaming.replay import pace, write_replay
-from linewatch.streaming.score import scaled_messages, score, score_stream
+from linewatch.streaming.score import score, score_stream
 
 
 def test_messages_keep_nulls_and_drop_the_label(spark):
@@ -36,7 +34,7 @@ def test_decode(spark):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     out = decode(df, ["a", "b"])
     rows = good(out).collect()
-    assert [(r.machine_id, r.data.a) for r in rows] == [("M", "1.5"), ("M", "text")]
+    assert [(r.machine_id, r.data.a, r.extra) for r in rows] == [("M", "1.5", None), ("M", "text", {"other": "1"})]
     assert [r.value for r in dead_letters(out).collect()] == lines[2:]
 
 
@@ -45,6 +43,10 @@ def test_kafka_options_and_unknown_source(spark):
     assert options["startingOffsets"] == "earliest" and options["kafka.security.protocol"] == "SASL_SSL"
     with pytest.raises(ValueError):
         message_source(spark, {"kind": "smoke"})
+    assert options["maxOffsetsPerTrigger"] == "100000"
+    del options["maxOffsetsPerTrigger"]
+    with pytest.raises(ValueError):
+        message_source(spark, {"kind": "kafka", **options})
     assert pace() == {"processingTime": "30 seconds"}
 
 
@@ -77,74 +79,96 @@ def test_no_source_available(spark, tmp_path):
         read_first_available(["file:" + str(tmp_path / "x")], lambda p: read_table(spark, p))
 
 
-def run(stream, path, checkpoint):
+def test_replay_is_one_write_in_order(spark):
+    path = run_dir(spark, "replayed")
+    write_replay(spark.range(0).selectExpr("id as row_id"), path)
+    write_replay(spark.range(5, 1005, numPartitions=7).selectExpr("id as row_id"), path, rows_per_file=100)
+    write_replay(spark.range(1005, 1105).selectExpr("id as row_id"), path, rows_per_file=100)
+    seen = []
+
     def write(batch, batch_id):
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        seen.append([json.loads(r.value)["row_id"] for r in batch.collect()])
 
-    q = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    assert q.awaitTermination(120)
+    stream = message_source(spark, {"kind": "files", "path": path, "files_per_trigger": 1})
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", run_dir(spark, "c")).trigger(availableNow=True).start()
+    assert query.awaitTermination(120)
+    assert seen == [list(range(s, s + 100)) for s in range(5, 1105, 100)]
 
 
 def test_drift_stream_with_restart(spark):
-    df = spark.range(600).selectExpr("id as row_id", "case when id < 300 then 0D else 4D end + id % 10 as x")
+    df = spark.range(600).selectExpr("id as row_id", "id % 2 as m", "case when id < 300 then 0D else 40D end + id % 10 as x")
     source, path, checkpoint = (run_dir(spark, n) for n in ("in", "out", "check"))
 
-    def stream():
+    def go():
         lines = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
-        parsed = lines.select(F.from_json("value", "row_id bigint, x double").alias("m")).select("m.*")
-        return drift_stream(parsed, ["x"], every=10)
+        parsed = lines.select(F.from_json("value", "row_id bigint, m bigint, x double").alias("m")).select("m.*")
+        assert drift_stream(parsed, ["x"], path, checkpoint, by=["m"], every=10).awaitTermination(240)
 
     write_replay(df.where("row_id < 250"), source, rows_per_file=125)
-    run(stream(), path, checkpoint)
+    go()
     write_replay(df.where("row_id >= 250"), source, rows_per_file=125)
-    run(stream(), path, checkpoint)
-    got = spark.read.parquet(path)
-    assert got.select("batch").distinct().count() == 5
-    columns = ["feature", "seq", "drift_detected", "newly_drifted", "variance"]
-    stored = detect_drift(df, ["x"]).select(*columns)
-    assert got.select(*columns).exceptAll(stored).count() == 0 and got.count() == 600
-    assert stored.where("newly_drifted").count() > 0
-    assert got.agg(F.max("ref_count")).first()[0] == 60
+    go()
+    got = spark.read.parquet(f"{path}/changes").select("m", "feature", "seq")
+    want = detect_drift(df, ["x"], by=["m"]).select("m", "feature", "seq")
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() > 0
+    last = spark.read.parquet(f"{path}/stats").where("batch_id = 4").first()
+    assert last["count"] == 60 and last.seen == 600
 
 
-def test_score_stream_equals_stored_and_survives_a_restart(spark, sf):
+def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
+    """Messages without a counter or a machine, broken ones, and unknown fields, over three batches."""
     bundle = small_bundle(spark, sf)
-    raw = machine_events(spark, sf).where("row_id < 300")
+    rows = sent_rows(spark, sf).where("`Unnamed: 0` < 300")
     source, results, checkpoint = (run_dir(spark, n) for n in ("in", "results", "check"))
     clock = F.to_timestamp(F.lit("2024-01-01 10:20:30"))
 
-    def go():
+    def go(check=checkpoint):
         stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
-        q = score_stream(stream, bundle, results, checkpoint, clock)
-        assert q.awaitTermination(240)
+        query = score_stream(stream, bundle, results, check, clock)
+        assert query.awaitTermination(400)
+        return [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
 
-    write_replay(raw.where("row_id < 150"), source, rows_per_file=150)
-    go()
-    write_replay(raw.where("row_id >= 150"), source, rows_per_file=150)
-    spark.createDataFrame([("{broken",)], "value string").coalesce(1).write.mode("append").text(source)
-    go()
-    stored = score(to_messages(raw).select("value"), bundle, clock)
-    columns = ["seq", "predicted_downtime", "confidence"]
-    got = spark.read.parquet(f"{results}/predictions")
-    assert got.select(*columns).exceptAll(stored.select(*columns)).count() == 0
-    assert got.count() == stored.count()
-    log = spark.read.option("header", True).csv(f"{results}/log")
-    assert log.count() == got.count()
-    assert log.select("Date", "Timestamp").distinct().collect()[0] == ("2024-01-01", "10:20:30")
-    assert "Is_Anomaly" in log.columns and "Drift_Detected" in log.columns
-    refused = raw.where("Machine_ID is null").count() + 1
-    assert spark.read.text(f"{results}/dead").count() == refused
-    # The batch of the broken line alone hands the detector states on.
-    states = spark.read.parquet(f"{results}/drift").where("seq is null")
-    per_batch = {r.batch_id: r["count"] for r in states.groupBy("batch_id").count().collect()}
-    assert per_batch == {b: len(bundle.features) for b in range(3)}
-    # Reference statistics are those of one pass over all good messages in order.
-    scaled = scaled_messages(to_messages(raw).select("value"), bundle)
-    numbered = dense_index(scaled, "seq", out="at")
-    want = moving_statistics(numbered, bundle.features, "at", start=bundle.reference_stats).toPandas()
+    write_replay(rows.where("`Unnamed: 0` < 150"), source, 150, "Unnamed: 0")
+    assert go() == [150]
+    odd = [
+        "{broken",
+        json.dumps({"Machine_ID": "M1", "Assembly_Line_No": "L1", "Voltage(volts)": 3, "odd": {"a": [1]}}),
+        json.dumps({"Machine_ID": "M1", "Assembly_Line_No": "L1", "row_id": "text"}),
+    ]
+    spark.createDataFrame([(x,) for x in odd], "value string").coalesce(1).write.mode("append").text(source)
+    assert go() == [3]
+    write_replay(rows.where("`Unnamed: 0` >= 150"), source, 150, "Unnamed: 0")
+    assert go() == [150]
+
+    refused = rows.where("Machine_ID is null").count()
+    scored = spark.read.parquet(f"{results}/scored")
+    n = 300 - refused + 2
+    assert sorted(r.seq for r in scored.select("seq").collect()) == list(range(n))
+    assert spark.read.text(f"{results}/dead").count() == refused + 1
+    stored = score(to_messages(rows).select("value"), bundle, clock).select("data.Unnamed: 0", "predicted_downtime", "confidence")
+    got = scored.where(F.col("data.`Unnamed: 0`").isNotNull()).select("data.Unnamed: 0", "predicted_downtime", "confidence")
+    assert got.exceptAll(stored).count() == 0 and got.count() == stored.count() == n - 2
+    assert spark.read.parquet(f"{results}/predictions").count() == n
+    log = spark.read.option("header", True).option("escape", '"').csv(f"{results}/log")
+    assert log.count() == n and [tuple(r) for r in log.select("Date", "Timestamp").distinct().collect()] == [("2024-01-01", "10:20:30")]
+    extras = [json.loads(r.Extra) for r in log.where("`Unnamed: 0` is null").select("Extra").collect() if r.Extra]
+    assert extras == [{"odd": '{"a":[1]}'}]
+    assert log.where("Extra like '%Shift%'").count() == n - 2
+
+    # Drift and statistics are those of one pass over all good messages in order.
+    values = [F.col("features")[i].alias(f) for i, f in enumerate(bundle.features)]
+    scaled = scored.select("seq", *values)
+    whole = changes_of(detect_with_states(scaled, bundle.features, "seq")).select("feature", "seq")
+    assert spark.read.parquet(f"{results}/drift").select("feature", "seq").exceptAll(whole).count() == 0
+    assert spark.read.parquet(f"{results}/drift").count() == whole.count()
+    want = moving_statistics(scaled, bundle.features, "seq", start=bundle.reference_stats).toPandas()
     left = spark.read.parquet(f"{results}/stats/batch_id=2").toPandas()
     both = want.merge(left, on="feature", suffixes=("", "_stream"))
-    assert len(both) == len(bundle.features) and (both["seen"] == stored.count()).all()
+    assert len(both) == len(bundle.features) and (both["seen"] == n).all()
     assert (both["count"] == both["count_stream"]).all()
     for column in ("mean", "std", "min", "max"):
         assert both[column].to_numpy() == pytest.approx(both[f"{column}_stream"].to_numpy(), rel=1e-9, abs=1e-9)
+    gauges = spark.read.parquet(f"{results}/gauges").where("metric = 'predictions_total'").agg(F.sum("value")).first()[0]
+    assert gauges == n
+    with pytest.raises(ValueError):
+        go(run_dir(spark, "another"))
