@@ -16,8 +16,9 @@ from linewatch.catalog.base import (
 )
 from linewatch.catalog.windows import SENSOR_COLUMNS, TEMPORAL_SQL, short_names
 from linewatch.operators.encode import fit_one_hot
-from linewatch.plans.features import POSITION, feature_table, serving_features
+from linewatch.plans.features import POSITION, feature_table, serving_features, with_history
 from linewatch.schema import TARGET
+from linewatch.session import materialise
 
 MACHINE_NAMES = [f"M{i}" for i in range(6)]
 LINE_NAMES = [f"L{i}" for i in range(3)]
@@ -77,3 +78,29 @@ def serving(spark: SparkSession, sf: str) -> DataFrame:
     sensors = [f"{s}{e}" for s in SENSORS for e in ("", "_lag1", "_mean5", "_std5")]
     wanted = ["row_id", *CALENDAR, *sensors, *DUMMIES, "absent"]
     return short_names(serving_features(raw, SENSORS, categories, wanted))
+
+
+@query(
+    "serving_features_history_o83",
+    f"""with {RAW_SQL}, n as (select row_id, machine, coalesce(try_cast(torque as double), 0) as torque,
+        coalesce(try_cast(voltage as double), 0) as voltage from raw)
+      select row_id::double as row_id, torque, coalesce(lag(torque) over g, torque) as torque_lag1,
+        round(avg(torque) over h, 6) + 0.0 as torque_mean5, round(coalesce(stddev_samp(torque) over h, 0), 6) + 0.0 as torque_std5,
+        voltage, coalesce(lag(voltage) over g, voltage) as voltage_lag1,
+        round(avg(voltage) over h, 6) + 0.0 as voltage_mean5, round(coalesce(stddev_samp(voltage) over h, 0), 6) + 0.0 as voltage_std5
+      from n window g as (partition by machine order by row_id), h as (partition by machine order by row_id rows 4 preceding)""",
+)
+def serving_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs of rows, each with the readings that the run before has left of its machine."""
+    raw = machine_events(spark, sf)
+    n = raw.count()
+    sensors = [f"{s}{e}" for s in SENSORS for e in ("", "_lag1", "_mean5", "_std5")]
+    history, out = None, None
+    for low, high in ((0, n // 3), (n // 3, n // 3 + 7), (n // 3 + 7, n)):
+        rows = raw.where(F.col("row_id").between(low, high - 1))
+        featured, history = with_history(rows, history, SENSORS, "row_id")
+        history = materialise(spark, history, "history")
+        made = serving_features(featured, SENSORS, {}, ["row_id", *sensors])
+        out = made if out is None else out.unionByName(made)
+    named = short_names(out)
+    return named.select("row_id", *[r6(c).alias(c) for c in SENSOR_COLUMNS])

@@ -106,12 +106,14 @@ def add_temporal_features(
     ahead: tuple[str, int, str] | None = None,
     fill_from: DataFrame | None = None,
     dense: bool | None = None,
+    numbered: bool = False,
 ) -> DataFrame:
     """Sensors to numbers with gaps at the median, then ``_lag1``, ``_mean5`` and
     ``_std5`` for each; the other columns are filled forward, backward, then 0.
 
     All row windows share one exchange and one sort. With ``by``, windows and fills stay within a group.
-    ``order`` may have gaps; it is then ranked once, into a stored table.
+    ``order`` may have gaps; it is then ranked once, into a stored table. ``numbered`` says that the caller has just made
+    ``order`` as a position from 0, so that there is nothing to look at.
     ``ahead`` adds a look-ahead column (source, rows, name) in the same pass and
     drops the rows that have none; ``fill_from`` is then the table without them, of a dense order from 0.
     Without any sensor column the frame is returned as it is.
@@ -131,7 +133,7 @@ def add_temporal_features(
     # Columns that cannot hold nulls need no fill.
     nullable = {f.name for f in df.schema.fields if f.nullable}
     gaps = [c for c in others if c in nullable and c != order and c not in by]
-    low = dense_from(numbers, order) if dense is None and not by else None
+    low = 0 if numbered else dense_from(numbers, order) if dense is None and not by else None
     if low is not None:
         placed = numbers.withColumn(POSITION, (F.col(quoted(order)) - F.lit(low)).cast("bigint"))
     elif dense:

@@ -22,6 +22,18 @@ from linewatch.schema import GROUP, TARGET
 N = 300
 
 
+@pytest.fixture(autouse=True, scope="module")
+def compiled(spark):
+    """Windows and features are tested as they run: with code generation."""
+    keys = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 def frame(spark, parts=4):
     return spark.range(N, numPartitions=parts).selectExpr(
         "id as row_id",

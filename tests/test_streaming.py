@@ -172,3 +172,22 @@ def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
     assert gauges == n
     with pytest.raises(ValueError):
         go(run_dir(spark, "another"))
+
+
+def test_score_stream_with_history(spark, sf):
+    """Features over a machine's last readings do not depend on where the batches are cut."""
+    bundle = small_bundle(spark, sf)
+    rows = sent_rows(spark, sf).where("`Unnamed: 0` < 120")
+    found = []
+    for per_file in (40, 120):
+        source, results = run_dir(spark, "in"), run_dir(spark, "results")
+        write_replay(rows, source, per_file, "Unnamed: 0")
+        stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+        assert score_stream(stream, bundle, results, run_dir(spark, "check"), history="state").awaitTermination(400)
+        scored = spark.read.parquet(f"{results}/scored").orderBy("seq").collect()
+        found.append([(r.seq, [round(x, 9) for x in r.features], r.predicted_downtime) for r in scored])
+    assert found[0] == found[1]
+    at = bundle.features.index("Torque(Nm)_std5")
+    assert len({f[1][at] for f in found[0]}) > 10
+    with pytest.raises(ValueError):
+        score_stream(stream, bundle, results, "x", history="some")
