@@ -23,6 +23,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.batches import text_batches
 from linewatch.llm.components import components
 from linewatch.llm.words import hash_shingles, hash_words, mix, text_slices
 from linewatch.session import materialise
@@ -321,6 +322,11 @@ def near_duplicates(documents: DataFrame, near: Near = Near()) -> DataFrame:
     without a word are alike only if equal; null and empty texts are each a class of
     their own. ``kept`` is true for one document of each class, that of the least id and text hash; rows equal in both are
     all marked. A null id is its class's only if the class has no other. ``text_hash`` tells the texts of one id apart."""
+    with text_batches(documents.sparkSession):
+        return _classes(documents, near)
+
+
+def _classes(documents: DataFrame, near: Near) -> DataFrame:
     spark = documents.sparkSession
     signed = materialise(spark, sign(documents, near), "signatures")
     one = signed.where("bands is not null").groupBy("key").agg(

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from linewatch.llm.batches import text_batches
 from linewatch.llm.encode import encoder
 from linewatch.llm.ranks import parts_for, ranked
 from linewatch.session import materialise
@@ -194,7 +195,8 @@ def pack(documents: DataFrame, tokenizer: str, window: int = 1024) -> DataFrame:
         lambda batches: _tokenise(batches, tokenizer, window),
         f"doc_id {kind}, doc_tokens bigint, full_crc32 array<bigint>, tail binary",
     )
-    tokens = materialise(spark, tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
+    with text_batches(spark):
+        tokens = materialise(spark, tokens.withColumn("row", F.monotonically_increasing_id()), "tokens")
 
     tail_tokens = (F.col("doc_tokens") % window).alias("tail_tokens")
     histogram = tokens.groupBy(tail_tokens).count().collect()  # a row per length below the window

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.batches import strings, text_batches
 from linewatch.llm.names import unused
 from linewatch.llm.words import text_slices
 from linewatch.session import materialise
@@ -159,6 +160,9 @@ def character_shares(documents: DataFrame) -> dict[str, float]:
 
 SPAN = "struct<start:int,end:int,kind:string>"
 TOKEN = "struct<start:int,end:int,stratum:string,evidence:double,random:boolean>"
+_PLACE = [("start", pa.int32()), ("end", pa.int32())]
+_SPAN_ROW = pa.struct([*_PLACE, ("kind", pa.string())])
+_TOKEN_ROW = pa.struct([*_PLACE, ("stratum", pa.string()), ("evidence", pa.float64()), ("random", pa.bool_())])
 
 
 def _scan(text: str, battery: Battery, tokens: re.Pattern, shares: dict[str, float]):
@@ -183,31 +187,30 @@ def scan(documents: DataFrame, battery: Battery = Battery(), name: str = "secret
     Null and empty texts have no spans. Each row is looked at by itself, so repeated rows and ids stay as they are; a column of that
     name is replaced."""
     spark = documents.sparkSession
-    shares = character_shares(documents)
+    with text_batches(spark):
+        shares = character_shares(documents)
     tokens = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % battery.shortest)
     columns = [c for c in documents.columns if c != name]
     raw = unused(documents, "raw")
 
-    @F.pandas_udf(f"struct<base:array<{SPAN}>,tokens:array<{TOKEN}>>")
-    def found(texts):
-        import pandas as pd
-
-        base, tested = zip(*(_scan(t or "", battery, tokens, shares) for t in texts)) if len(texts) else ((), ())
-        return pd.DataFrame(
-            {
-                "base": [[{"start": s, "end": e, "kind": k} for s, e, k in b] for b in base],
-                "tokens": [
-                    [{"start": s, "end": e, "stratum": g, "evidence": v, "random": r} for s, e, g, v, r in t] for t in tested
-                ],
-            }
-        )
+    @F.arrow_udf(f"struct<base:array<{SPAN}>,tokens:array<{TOKEN}>>")
+    def found(texts: pa.Array) -> pa.Array:
+        base, tested = [], []
+        for text in strings(texts):
+            b, t = _scan(text, battery, tokens, shares)
+            base.append([dict(zip(("start", "end", "kind"), x)) for x in b])
+            tested.append([dict(zip(("start", "end", "stratum", "evidence", "random"), x)) for x in t])
+        columns = [pa.array(base, pa.list_(_SPAN_ROW)), pa.array(tested, pa.list_(_TOKEN_ROW))]
+        return pa.StructArray.from_arrays(columns, names=["base", "tokens"])
 
     # The evidence of all tokens is needed before any is judged.
     evidence = documents.select(F.explode(found("text")["tokens"]).alias("t")).select("t.*")
     levels = evidence.groupBy("stratum", F.least(F.floor(F.col("evidence") * 10), F.lit(4000)).alias("level")).agg(
         F.count(F.lit(1)).alias("n")
     )
-    limits = thresholds(materialise(spark, levels, "evidence"), battery.rate)
+    with text_batches(spark):
+        levels = materialise(spark, levels, "evidence")
+    limits = thresholds(levels, battery.rate)
     cut = F.create_map(F.lit("none"), F.lit(math.inf), *[F.lit(v) for pair in limits.items() for v in pair])
     scanned = documents.select(*columns, found("text").alias(raw))
     taken = F.filter(f"{raw}.tokens", lambda t: t["random"] & (t["evidence"] >= F.coalesce(cut[t["stratum"]], F.lit(math.inf))))
@@ -246,22 +249,19 @@ def redact(documents: DataFrame, battery: Battery = Battery(), mark: str = "[SEC
     name = unused(documents, "secrets")
     scanned = scan(documents, battery, name)
 
-    @F.pandas_udf("string")
-    def masked(texts, spans):
-        import pandas as pd
-
+    @F.arrow_udf("string")
+    def masked(texts: pa.Array, spans: pa.Array) -> pa.Array:
         out = []
-        for text, found in zip(texts, spans):
-            if text is None or not len(found):
-                out.append(text)
-                continue
+        for i, text in enumerate(strings(texts)):
             pieces, at = [], 0
-            for s in sorted(found, key=lambda s: (s["start"], s["end"])):
+            for s in sorted(spans[i].as_py() or [], key=lambda s: (s["start"], s["end"])):
                 if s["start"] >= at or not pieces:
                     pieces += [text[at : s["start"]], mark]
                 at = max(at, s["end"])
-            out.append("".join(pieces) + text[at:])
-        return pd.Series(out, dtype=object)
+            out.append("".join(pieces) + text[at:] if pieces else None)
+        return pa.array(out, pa.string())
 
-    text = F.when(F.size(name) > 0, masked("text", name)).otherwise(F.col("text"))
+    # Texts without a span stay in the JVM.
+    touched = F.when(F.size(name) > 0, F.col("text"))
+    text = F.coalesce(masked(touched, F.col(name)), F.col("text"))
     return scanned.withColumn("text", text).select(*documents.columns)

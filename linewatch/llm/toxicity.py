@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linewatch.llm.batches import strings, text_batches
 from linewatch.llm.words import hash_shingles, hash_words, text_slices
 from linewatch.session import materialise
 
@@ -189,8 +190,8 @@ def _count(batches, shortest: int, longest: int):
     """(pattern, toxic documents, clean documents) of a task."""
     toxic, clean = Counter(), Counter()
     for batch in batches:
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            (toxic if label else clean).update(_patterns_of(text or "", shortest, longest))
+        for text, label in zip(strings(batch.column("text")), batch.column("toxic").to_pylist()):
+            (toxic if label else clean).update(_patterns_of(text, shortest, longest))
     names = list(toxic)  # a pattern without toxic documents is no candidate
     if names:
         yield pa.RecordBatch.from_arrays(
@@ -202,8 +203,8 @@ def _count(batches, shortest: int, longest: int):
 def _clean_count(batches, candidates: list[str], shortest: int, longest: int):
     known, clean = set(candidates), Counter()
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            clean.update(_patterns_of(text or "", shortest, longest) & known)
+        for text in strings(batch.column("text")):
+            clean.update(_patterns_of(text, shortest, longest) & known)
     if clean:
         yield pa.RecordBatch.from_arrays([pa.array(list(clean)), pa.array(list(clean.values()), pa.int64())], names=["pattern", "b"])
 
@@ -265,6 +266,13 @@ def learn(
     A pattern is an insult if ``min_seen`` toxic documents have it, a likelihood-ratio test of its share in toxic against clean
     documents gives ``min_gain`` or more, and the lower bound of its log odds, which is its weight, is above 1. No toxic document: a grammar
     without insults that scores 0.01."""
+    with text_batches(documents.sparkSession):
+        return _learned(documents, labels, max_rows, shortest, longest, min_seen, min_gain)
+
+
+def _learned(
+    documents: DataFrame, labels: DataFrame, max_rows: int, shortest: int, longest: int, min_seen: int, min_gain: float
+) -> Grammar:
     spark = documents.sparkSession
     given = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.min("toxic").alias("toxic"), F.max("toxic").alias("other")
@@ -315,7 +323,7 @@ def learn(
     def featurise(batches):
         m = matcher(grammar)
         for batch in batches:
-            x = [m.features(t) for t in batch.column("text").to_pylist()]
+            x = [m.features(t) for t in strings(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array([list(v) for v in x], pa.list_(pa.float64())), batch.column("toxic")], names=["x", "toxic"])
 
     # Some max_rows rows of seven numbers.
@@ -331,10 +339,10 @@ def score(documents: DataFrame, grammar: Grammar, name: str = "score") -> DataFr
     name is replaced. One row in, one row out; nothing is shuffled."""
     from pyspark.sql.types import DoubleType
 
-    @F.pandas_udf(DoubleType())
-    def scored(texts):
+    @F.arrow_udf(DoubleType())
+    def scored(texts: pa.Array) -> pa.Array:
         m = matcher(grammar)
-        return texts.map(lambda t: m.score(t or ""))
+        return pa.array([m.score(t) for t in strings(texts)], pa.float64())
 
     return documents.withColumn(name, scored(F.col("text")))
 

@@ -36,7 +36,7 @@ _IN_WORD[48:58] = _IN_WORD[65:91] = _IN_WORD[97:123] = _IN_WORD[128:] = True
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
 #: Bytes hashed at once, unless one text is longer.
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
