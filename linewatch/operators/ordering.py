@@ -178,8 +178,7 @@ def halo_at(
         spread = df.withColumn(BUCKET, F.explode(F.array_compact(F.array(*targets))))
     window = Window.partitionBy(*[quoted(c) for c in by], BUCKET).orderBy(POSITION)
     inner = [F.col(BUCKET), position] if keep else []
-    chosen = [c for c in columns(window)]
-    result = spread.select(*chosen, (F.col(BUCKET) == own).alias("_own"), *inner)
+    result = spread.select(*columns(window), (F.col(BUCKET) == own).alias("_own"), *inner)
     return result.where("_own").drop("_own")
 
 
@@ -202,7 +201,8 @@ def halo_select(
     if bucket_rows < max(before, after, 1):
         raise ValueError(f"bucket_rows={bucket_rows} is shorter than the frame ({before}, {after})")
     placed = with_position(df, order, by, dense, bucket_rows)
-    return halo_at(placed, columns, before, after, by, bucket_rows)
+    # A star in ``columns`` takes the working columns too.
+    return halo_at(placed, columns, before, after, by, bucket_rows).drop(POSITION, BUCKET)
 
 
 def _carried(summaries: DataFrame, columns: Sequence[str], key: Sequence[str]) -> DataFrame:

@@ -231,3 +231,12 @@ def test_serving_row_alone(spark):
     sensors = ["Torque(Nm)", "Voltage(volts)", "Cutting(kN)"]
     row = serving_features(df, sensors, {"Machine_ID": ["M1", "M2"]}, wanted).first()
     assert tuple(row) == (7.0, 12.0, 5.5, 5.5, 5.5, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0)
+
+
+def test_stored_tables_lie_in_one_folder_and_can_go(spark):
+    from linewatch.session import materialise, run_dir
+
+    table = materialise(spark, spark.range(3), "t")
+    folder = run_dir(spark, "x").rsplit("/", 1)[0]
+    assert all(f.startswith(folder.replace("file:", "file://")) for f in table.inputFiles())
+    assert spark.sparkContext.applicationId in folder

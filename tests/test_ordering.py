@@ -125,6 +125,7 @@ def test_dense_index_with_null_group(spark):
 def test_short_bucket_is_refused(spark):
     with pytest.raises(ValueError):
         halo_select(frame(spark), lambda w: ["*"], 0, 10, bucket_rows=5)
+    assert halo_select(frame(spark), lambda w: ["*"], 0, 10, bucket_rows=50).columns == frame(spark).columns
 
 
 def test_rising_edge_and_repeats(spark):
