@@ -49,14 +49,14 @@ def _cells(
         sum(terms[1:], terms[0]).alias("p"),
     )
     # One row per class: percentiles of the projection, and how finely to cut
-    # between two of them so that a cell holds about one chunk.
-    most = df.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    segments = max(1, min(SEGMENTS, math.ceil(most / chunk_rows)))
-    shares = [i / segments for i in range(segments + 1)]
-    grid = placed.groupBy("label").agg(
-        F.percentile_approx("p", shares, 10 * SEGMENTS).alias("bounds"),
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / (chunk_rows * segments))).alias("cuts"),
-    )
+    # between two of them so that a cell holds about one chunk. Each class has as many as its own size asks for.
+    shares = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    fine = F.percentile_approx("p", shares, 10 * SEGMENTS)
+    grid = placed.groupBy("label").agg(fine.alias("fine"), F.count(F.lit(1)).alias("n"))
+    segments = F.least(F.lit(SEGMENTS), F.ceil(F.col("n") / chunk_rows)).cast("int")
+    taken = F.transform(F.sequence(F.lit(0), segments), lambda i: F.get("fine", F.floor(i * SEGMENTS / segments).cast("int")))
+    cuts = F.greatest(F.lit(1), F.ceil(F.col("n") / (segments * chunk_rows)))
+    grid = grid.select("label", taken.alias("bounds"), cuts.alias("cuts"))
     placed = placed.join(grid, "label").withColumn("cell", _cell(F.col("p")))
     sizes = placed.groupBy("label", "cell").agg(
         F.ceil(F.count(F.lit(1)) / chunk_rows).alias("chunks")
@@ -66,6 +66,24 @@ def _cells(
     )
 
 
+def _full_cells(placed: DataFrame, chunk_rows: int) -> DataFrame:
+    """``placed`` with neighbouring cells put together, so that each holds half a chunk at least, or its whole class. The
+    windows see one row per cell, about one for each chunk of the table."""
+    counts = placed.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("run", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / chunk_rows))
+    run = Window.partitionBy("label", "run")
+    counts = counts.withColumn("held", F.sum("n").over(run)).withColumn("first", F.min("cell").over(run))
+    # A run that holds little goes to the last one before it that holds more.
+    opens = (F.col("cell") == F.col("first")) & (2 * F.col("held") >= chunk_rows)
+    upto = Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    counts = counts.withColumn("group", F.greatest(F.lit(1), F.sum(opens.cast("int")).over(upto)))
+    whole = F.sum("n").over(Window.partitionBy("label", "group"))
+    merged = counts.select("label", "cell", "group", F.ceil(whole / chunk_rows).alias("chunks"))
+    regrouped = placed.drop("chunks", "chunk").join(merged, ["label", "cell"]).drop("cell").withColumnRenamed("group", "cell")
+    return regrouped.withColumn("chunk", F.pmod(stable_hash(F.col("id"), seed=1), F.col("chunks")))
+
+
 def _cell(p: Column) -> Column:
     """Cell number along the projection; the outer cells reach to infinity."""
     reached = F.size(F.filter("bounds", lambda b: b <= p))
@@ -143,7 +161,8 @@ def near_neighbours(
 ) -> DataFrame:
     """``label, id, neighbour, d2, rank``: the k nearest among the rows that fall into the same chunk under one of a few
     projections, the main direction and random ones. Approximate, and the work of a row is constant: ``projections`` chunks,
-    whatever the number of features and rows. A class of at most ``chunk_rows`` rows is one chunk, and exact."""
+    whatever the number of features and rows. A class of at most ``chunk_rows`` rows is one chunk, and exact. A row that meets fewer
+    than k others searches its whole class, so each row has k neighbours if its class has."""
     spark = members.sparkSession
     rng = np.random.default_rng(seed)
     found = None
@@ -152,11 +171,19 @@ def near_neighbours(
         if number:
             drawn = rng.standard_normal(len(features))
             direction = (drawn / np.linalg.norm(drawn)).tolist()
-        placed = materialise(spark, _cells(members, features, chunk_rows, direction), "cells")
+        placed = materialise(spark, _full_cells(_cells(members, features, chunk_rows, direction), chunk_rows), "cells")
         bases = placed if wanted is None else placed.join(wanted, ["label", "id"], "left_semi")
         part = _search(bases, placed, k, chunk_rows)
         found = part if found is None else found.unionByName(part)
-    return _best(found.dropDuplicates(["label", "id", "neighbour"]), k)
+    near = materialise(spark, _best(found.dropDuplicates(["label", "id", "neighbour"]), k), "near")
+    # Chunks are dealt by hash, so few rows may be left with too few others: those search their whole class.
+    served = near.where(F.col("rank") == k).select("label", "id")
+    number = F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    short = materialise(spark, bases.where(~number).select("label", "id").join(served, ["label", "id"], "left_anti"), "short")
+    if short.isEmpty():
+        return near
+    exact = nearest_neighbours(members, features, k, short, chunk_rows)
+    return near.join(short, ["label", "id"], "left_anti").unionByName(exact)
 
 
 def nearest_neighbours(

@@ -105,6 +105,20 @@ def test_smote_balances_on_segments(spark):
     assert np.allclose(again.sort_values(key)[key], grown.sort_values(key)[key])
 
 
+def test_smote_loses_no_draw(spark):
+    """Rare classes beside a growing one of many chunks, with an outlier in each: every draw is made."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for c, n in {0: 1500, 1: 1400, 2: 60, 3: 12}.items():
+        points = rng.normal(c * 10, 1, (n, 3))
+        points[-1] = 1e6
+        rows += [(c, *map(float, p)) for p in points]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id bigint, label int, x double, y double, z double")
+    grown = smote(df, ["x", "y", "z"], "label", chunk_rows=16)
+    made = grown.groupBy("label").agg(F.count("*").alias("n"), F.count_distinct("draw").alias("draws")).collect()
+    assert {r.label: (r.n, r.draws) for r in made} == {0: (1500, 0), 1: (1500, 100), 2: (1500, 1440), 3: (1500, 1488)}
+
+
 def test_smote_leaves_tiny_classes_alone(spark):
     df = classes(spark, {0: 20, 1: 5, 2: 1})
     assert smote(df, ["x", "y"], "label").count() == 26
