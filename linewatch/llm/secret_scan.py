@@ -66,9 +66,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def encoding(token: str) -> str | None:
-    """The narrowest alphabet that holds the token; None for tokens without both a digit and a letter."""
+    """The narrowest alphabet that holds the token; None for tokens without two of digits, small and capital letters."""
     chars = set(token)
-    if not (chars & _SETS["HEX"] & set(DIGITS)) or not (chars - set(DIGITS) - set("+/-_")):
+    if sum(not chars.isdisjoint(kind) for kind in (DIGITS, LOWER, UPPER)) < 2:
         return None
     return next((name for name, s in _SETS.items() if chars <= s), None)
 
@@ -169,9 +169,9 @@ def _scan(text: str, battery: Battery, tokens: re.Pattern, shares: dict[str, flo
     base = base_spans(text)
     found = []
     for m in tokens.finditer(text):
-        token = m.group().rstrip("=")
-        name = encoding(token) if len(token) >= battery.shortest else None
-        start, end = m.start(), m.start() + len(token)
+        token = m.group()
+        name = encoding(token)
+        start, end = m.span()
         if name is None or any(s < end and start < e for s, e, _ in base):
             continue
         found.append(
@@ -189,7 +189,8 @@ def scan(documents: DataFrame, battery: Battery = Battery(), name: str = "secret
     spark = documents.sparkSession
     with text_batches(spark):
         shares = character_shares(documents)
-    tokens = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % battery.shortest)
+    # An equals sign parts a name from its value, or pads a value: no token holds one.
+    tokens = re.compile(r"[A-Za-z0-9+/_-]{%d,}" % battery.shortest)
     columns = [c for c in documents.columns if c != name]
     raw = unused(documents, "raw")
 

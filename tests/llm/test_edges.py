@@ -176,6 +176,27 @@ def test_secrets_odd(spark):
     assert masked[1] == '[SECRET]" and [SECRET]'
 
 
+def test_secrets_named(spark):
+    """Random values behind a name and an equals sign, padded ones, and ones without a digit."""
+    rng = random.Random(7)
+    letters = secret_scan.LOWER + secret_scan.UPPER
+
+    def token(alphabet=secret_scan.ALPHABETS["base62"]):
+        return "".join(rng.choice(alphabet) for _ in range(40))
+
+    tokens = [token(), token(), token(), token(letters), token(), token(letters)]
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "sig={}&x=1", "https://example.org/a?session={}&v=2", "key={}", "pad {}== end", "bare {} end"]
+    texts = [form.format(t) for form, t in zip(forms, tokens)] + [" ".join(words(rng, 200)) for _ in range(20)]
+    texts += ["NAME_OF_A_LONG_CONSTANT=value_of_a_long_constant"]
+    rows = {r.doc_id: [tuple(s) for s in r.secrets] for r in secret_scan.scan(documents(spark, texts)).collect()}
+    for i, t in enumerate(tokens):
+        start = texts[i].index(t)
+        assert rows[i] == [(start, start + 40, "random")], texts[i]
+    assert all(rows[i] == [] for i in range(len(tokens), len(texts)))
+    masked = {r.doc_id: r.text for r in secret_scan.redact(documents(spark, texts)).collect()}
+    assert masked[0] == "AWS_SECRET_ACCESS_KEY=[SECRET]" and masked[1] == "sig=[SECRET]&x=1"
+
+
 def test_toxicity_odd(spark):
     labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)] + [(None, 1, 1), (3, 0, 0)], "doc_id bigint, quality int, toxic int")
     texts = [("you scum idiot " if i % 2 else "fine words ") + f"w{i} filler" for i in range(40)]
