@@ -205,6 +205,7 @@ def near_duplicates(vectors: DataFrame, codes: Codes = Codes()) -> DataFrame:
 
     spread = coded.select("node", F.posexplode("buckets").alias("band", "bucket"))
     sizes = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    sizes = materialise(spark, sizes, "sizes")
     blocks = F.ceil(F.col("n") / codes.block).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     spots = F.transform(
@@ -213,7 +214,9 @@ def near_duplicates(vectors: DataFrame, codes: Codes = Codes()) -> DataFrame:
     )
     met = spread.join(sizes, ["band", "bucket"]).select("node", "band", "bucket", F.explode(spots).alias("spot"))
     met = met.select("node", "band", "bucket", "spot.*").join(coded.drop("buckets"), "node")
-    pools = max(nodes.count() * bands // (4 * codes.block), 1)
+    # Many small blocks share a pool; a large bucket's blocks count as often as they are compared.
+    compared = sizes.agg(F.sum(F.col("n") * blocks)).first()[0] or 0
+    pools = max(-(-compared // (4 * codes.block)), 1)
     pooled = met.withColumn("pool", F.pmod(F.xxhash64("band", "bucket", "i", "j"), F.lit(pools)))
     found = pooled.groupBy("pool").applyInPandas(
         lambda pdf: _compare(pdf, bits, bands, codes), "node bigint, links bigint, parent bigint"

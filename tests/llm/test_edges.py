@@ -157,6 +157,31 @@ def test_decontamination_odd(spark):
     assert not any(r.contaminated for r in none) and len(none) == len(rows)
 
 
+def pool_sizes(monkeypatch, tmp_path, module, name):
+    """The file that takes the rows of each pool a task compares."""
+    path, plain = str(tmp_path / "pools"), getattr(module, name)
+
+    def counted(pdf, *rest):
+        with open(path, "a") as out:
+            out.write(f"{len(pdf)}\n")
+        return plain(pdf, *rest)
+
+    monkeypatch.setattr(module, name, counted)
+    return path
+
+
+def test_embeddings_hot_group_in_bounded_pools(spark, monkeypatch, tmp_path):
+    """All vectors meet in nearly every band: a task still holds a few blocks at a time."""
+    path = pool_sizes(monkeypatch, tmp_path, rotation_codes, "_compare")
+    rng = np.random.default_rng(8)
+    points = 1 + rng.normal(0, 0.01, (80, 16))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id bigint, embedding array<double>")
+    got = rotation_codes.near_duplicates(df, rotation_codes.Codes(block=4)).collect()
+    assert all(r.n_links == 79 and r.component_id == 0 for r in got) and len(got) == 80
+    sizes = [int(n) for n in open(path)]
+    assert len(sizes) > 1 and max(sizes) <= 16 * 4
+
+
 def test_secrets_odd(spark):
     df = odd_documents(spark)
     out = secret_scan.scan(df, name="found")
