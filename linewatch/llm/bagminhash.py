@@ -308,8 +308,9 @@ def _rest_links(documents: DataFrame, rest: DataFrame, distinct: DataFrame, near
     spots = F.when(other, F.concat(with_top, with_others)).otherwise(as_top)
     blocks = rest.withColumn("spot", F.explode(spots)).select("band", "bucket", "key", "class", "spot.*")
     blocks = blocks.join(distinct, "key").join(_bags(documents, rest.select("doc_id"), near), "key")
-    # Many small blocks share a group; blocks of one bucket rarely do.
-    groups = F.lit(max(rest.count() // (2 * near.block), 1) * 4)
+    # Many small blocks share a group; a large bucket's blocks count as often as they are compared.
+    compared = rest.agg(F.sum(F.when(other, n_top + n_other).otherwise(n_other).cast("bigint"))).first()[0] or 0
+    groups = F.lit(max(compared // (2 * near.block), 1) * 4)
     pooled = blocks.withColumn("pool", F.pmod(F.xxhash64("band", "bucket", "i", "j"), groups))
     return pooled.groupBy("pool").applyInPandas(lambda pdf: _compare_blocks(pdf, near), "a binary, b binary").distinct()
 

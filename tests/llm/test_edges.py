@@ -182,6 +182,18 @@ def test_embeddings_hot_group_in_bounded_pools(spark, monkeypatch, tmp_path):
     assert len(sizes) > 1 and max(sizes) <= 16 * 4
 
 
+def test_documents_hot_group_in_bounded_pools(spark, monkeypatch, tmp_path):
+    """Pages of one template that meet in buckets and do not link: a task still holds a few blocks at a time."""
+    path = pool_sizes(monkeypatch, tmp_path, bagminhash, "_compare_blocks")
+    rng = random.Random(6)
+    template = words(rng, 200)
+    texts = [" ".join(template + [f"own{i}x{j}" for j in range(40)]) for i in range(100)]
+    got = bagminhash.near_duplicates(documents(spark, texts), bagminhash.Near(block=4)).collect()
+    assert len(got) == 100 and all(r.kept and r.class_id == r.doc_id for r in got)
+    sizes = [int(n) for n in open(path)]
+    assert len(sizes) > 1 and max(sizes) <= 8 * 4
+
+
 def test_secrets_odd(spark):
     df = odd_documents(spark)
     out = secret_scan.scan(df, name="found")
