@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
-from linewatch.llm import chat, language, rotation_codes, secret_scan, sharding
+from linewatch.llm import chat, language, merkle, rotation_codes, secret_scan, sharding
 from linewatch.llm.packing import pack
 from linewatch.llm.toxicity import held_out, learn, score
 from linewatch.llm.url_rules import judge_urls
@@ -243,3 +243,58 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf)
+
+
+def encoded_sql(column: str, value: str | None = None) -> str:
+    value = f"({value or column})::varchar"
+    return f"case when {value} is null then '-' else strlen({value}) || ':' || {value} end"
+
+
+_LEAF_HEAD = " || ".join(encoded_sql(c) for c in ("doc_id", "source", "lang", "n_chars"))
+_GROWN_SQL = """select {0}, level + 1, pos // 3, sha256(string_agg(digest, '' order by pos))
+    from (select *, count(*) over (partition by {0}) as nodes from {1}) where nodes > 1 group by {0}, level, pos // 3"""
+
+MANIFEST_SQL = f"""
+  hashed as (select row_number() over (order by doc_id nulls first) as rid, doc_id, source, sha256({_LEAF_HEAD} || {encoded_sql("text")}) as leaf,
+      case when doc_id is not null and c.text_crc32 % 2 = 0 then sha256({_LEAF_HEAD} || {encoded_sql("text", "replace(text, chr(10), '')")}) end as tampered
+    from (select *, coalesce(doc_id::varchar, '') as key from documents) join crcs c using (key)),
+  leaves as (select *, row_number() over (partition by source order by doc_id nulls first, leaf, rid) - 1 as pos from hashed),
+  tree as (select source, 0 as level, pos, leaf as digest from leaves union all {_GROWN_SQL.format("source", "tree")}),
+  subroots as (select source, arg_max(digest, level) as digest, max(level) as height from tree group by source),
+  ranked as (select *, row_number() over (order by source nulls first) - 1 as nth, 0 as one from subroots),
+  top as (select one, 0 as level, nth as pos, digest from ranked union all {_GROWN_SQL.format("one", "top")}),
+  root as (select arg_max(digest, level) as root, max(level) as height from top),
+  below as (select rid, t.level as k, string_agg(t.digest, '' order by t.pos) filter (t.pos < l.pos // power(3, t.level)::bigint) as l,
+      string_agg(t.digest, '' order by t.pos) filter (t.pos > l.pos // power(3, t.level)::bigint) as r
+    from leaves l join subroots s on l.source is not distinct from s.source
+      join tree t on t.source is not distinct from l.source and t.level < s.height and t.pos // 3 = l.pos // power(3, t.level + 1)::bigint
+    group by rid, t.level),
+  above as (select rid, r.height + t.level as k, string_agg(t.digest, '' order by t.pos) filter (t.pos < nth // power(3, t.level)::bigint) as l,
+      string_agg(t.digest, '' order by t.pos) filter (t.pos > nth // power(3, t.level)::bigint) as r
+    from leaves d join ranked r on r.source is not distinct from d.source join root on true
+      join top t on t.level < root.height and t.pos // 3 = nth // power(3, t.level + 1)::bigint
+    group by rid, r.height, t.level),
+  steps as (select rid, k, coalesce(l, '') as l, coalesce(r, '') as r from (from below union all from above)),
+  fold as (select rid, 0 as k, coalesce(tampered, leaf) as now from leaves
+    union all select f.rid, f.k + 1, sha256(s.l || f.now || s.r) from fold f join steps s on s.rid = f.rid and s.k = f.k),
+  ends as (select rid, arg_max(now, k) as folded_root from fold group by rid),
+  proofs as (select rid, sha256(coalesce(string_agg(l || r, '' order by k), '')) as proof_sha256 from leaves left join steps using (rid) group by rid)"""
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""with recursive {CRC32_SQL.replace("select doc_id, xor", "select distinct coalesce(doc_id::varchar, '') as key, xor").replace("coalesce(text, '')", "coalesce(doc_id::varchar, '')")}, {MANIFEST_SQL}
+  select doc_id, leaf, s.digest as subroot, root, proof_sha256, folded_root, folded_root = root as verified
+  from leaves l join subroots s on l.source is not distinct from s.source join ends using (rid) join proofs using (rid) join root on true""",
+)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    proven = merkle.audit(table(spark, sf, "documents"))
+    return proven.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(F.flatten("proof"), ""), 256).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
