@@ -10,6 +10,7 @@ from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
 from linewatch.llm import chat, language, merkle, rotation_codes, secret_scan, sharding
 from linewatch.llm.packing import pack
+from linewatch.llm.prefix_trie import prefix_trie
 from linewatch.llm.toxicity import held_out, learn, score
 from linewatch.llm.url_rules import judge_urls
 
@@ -298,3 +299,33 @@ def op12(spark: SparkSession, sf: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+TRIE_SQL = """
+  own as (select conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+      order by turn nulls first, coalesce(role, ''), md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) as said
+    from conversations where conv_id is not null group by conv_id),
+  heads as (select key::bigint as conv_id, text_crc32 % 6 as h from crcs),
+  rebuilt as (select o.conv_id, list_concat(coalesce(b.said[1:h], []), o.said[h + 1:]) as said
+    from own o join heads using (conv_id) left join own b on b.conv_id = o.conv_id - o.conv_id % 100),
+  prefixes as (select conv_id, len(said) as length, said[1:d] as seq, d as depth, said[1:d - 1] as up
+    from (select *, unnest(range(len(said) + 1)) as d from rebuilt)),
+  nodes as (select depth, seq, any_value(case when depth = 0 then null else up end) as up, min(conv_id) as conv_id, count(*) as n_convs,
+      (count(*) - 1) * coalesce(length(any_value(seq[depth].text)), 0) as saves,
+      sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (length = depth), '')) as ends_sha256
+    from prefixes group by depth, seq),
+  families as (select p.depth, p.seq, count(*) as n_children from nodes p join nodes c on c.depth = p.depth + 1 and c.up = p.seq group by all),
+  under as (select p.depth, p.seq, count(*) filter (f.n_children is null) as n_leaves, sum(c.saves) as saved_tokens
+    from nodes p join nodes c on c.seq[1:p.depth] = p.seq and c.depth >= p.depth left join families f on f.depth = c.depth and f.seq = c.seq group by all)"""
+
+
+@query(
+    "op11_prefix_trie",
+    f"""with {CRC32_SQL.replace("select doc_id, xor", "select key, xor").replace("coalesce(text, '')", "key").replace("from documents", "from (select distinct conv_id::varchar as key from conversations where conv_id is not null)")}, {TRIE_SQL}
+  select n.conv_id, n.depth, p.conv_id as parent_conv_id, n.n_convs, coalesce(n_children, 0)::bigint as n_children, n_leaves::bigint as n_leaves,
+    saved_tokens::bigint as saved_tokens, n.ends_sha256
+  from nodes n left join nodes p on p.depth = n.depth - 1 and p.seq = n.up left join families f on f.depth = n.depth and f.seq = n.seq
+    join under u on u.depth = n.depth and u.seq = n.seq""",
+)
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie(table(spark, sf, "conversations"))

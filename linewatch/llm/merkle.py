@@ -19,17 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.llm.names import unused
-from linewatch.operators.ordering import ordered_index
+from linewatch.llm.places import groups_of, in_order, meet
 from linewatch.session import materialise
 
 FAN = 3
 LEVELS = 6
 FOOT = FAN**LEVELS
 _POWERS = [FAN**i for i in range(40)]
-#: Rows of a group that meet their group's place in the order together.
-SPAN = 5_000
-#: Rows sorted in one task, and the number of such tasks at most.
-SORTED_ROWS, SORTED_PARTS = 20_000, 20_000
 
 
 def encoded(value: Column) -> Column:
@@ -51,11 +47,6 @@ def _height(n: Column) -> Column:
     return F.size(F.filter(F.lit(_POWERS), lambda p: p < n))
 
 
-def _indexed(df: DataFrame, columns: Sequence[str], out: str) -> DataFrame:
-    rows = df.count()
-    return ordered_index(df, columns, out, max(SORTED_ROWS, rows // SORTED_PARTS))
-
-
 @dataclass(frozen=True)
 class Forest:
     """``segments[i]`` are records of the levels from i * LEVELS on: digest of the segment's top, and ``nodes`` (digest, children). ``roots`` has
@@ -189,17 +180,10 @@ def manifest(rows: DataFrame, group: str, order: str, leaf: str) -> Manifest:
     A group's leaves go by ``order``, null first, and equal ones by digest; groups go by value, null first. Rows repeated are leaves of their own. No row: no root."""
     spark = rows.sparkSession
     nth = unused(rows, "nth")
-    sorted_ = materialise(spark, _indexed(rows, [group, order, leaf], nth), "leaves")
-    groups = sorted_.groupBy(group).agg(F.min(nth).alias("first"), F.count(F.lit(1)).alias("n"))
-    groups = materialise(spark, groups.select(F.col(group).alias("group"), "first", "n", _height(F.col("n")).alias("height")), "groups")
-    groups = materialise(spark, _indexed(groups, ["group"], "tree"), "trees")
-    # Rows meet their group in spans of the order, so a large group is many keys.
-    spans = groups.select(
-        "first", "tree", "height", F.struct("group").alias("_group"),
-        F.explode(F.sequence(F.floor(F.col("first") / SPAN), F.floor((F.col("first") + F.col("n") - 1) / SPAN))).alias("_span"),
-    )
-    keyed = sorted_.withColumn("_group", F.struct(F.col(group).alias("group"))).withColumn("_span", F.floor(F.col(nth) / SPAN))
-    placed = keyed.join(spans, ["_group", "_span"]).select(*rows.columns, "tree", "height", (F.col(nth) - F.col("first")).alias("at"))
+    ordered = in_order(rows, [group, order, leaf], nth)
+    groups = groups_of(ordered, group, nth).withColumn("height", _height(F.col("n")))
+    groups = in_order(groups, ["group"], "tree")
+    placed = meet(ordered, groups, group, nth).select(*rows.columns, "tree", "height", (F.col(nth) - F.col("first")).alias("at"))
     placed = materialise(spark, placed, "placed")
     trees = build(placed.select("tree", "at", F.col(leaf).alias("digest"), "height"))
     n = groups.count()
