@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from linewatch.llm.bagminhash import near_duplicates
 from linewatch.llm.decontaminate import decontaminate
-from linewatch.llm import chat, language, merkle, rotation_codes, secret_scan, sharding
+from linewatch.llm import chat, language, merkle, quality, rotation_codes, secret_scan, sharding
 from linewatch.llm.packing import pack
 from linewatch.llm.prefix_trie import prefix_trie
 from linewatch.llm.toxicity import held_out, learn, score
@@ -329,3 +329,12 @@ TRIE_SQL = """
 )
 def op11(spark: SparkSession, sf: str) -> DataFrame:
     return prefix_trie(table(spark, sf, "conversations"))
+
+
+@query("op13_quality")
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    documents, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    model = quality.learn(documents.where(~held_out()), labels.where(~held_out()))
+    return quality.score(documents, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
