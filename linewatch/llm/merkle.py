@@ -200,8 +200,9 @@ def prove(made: Manifest, wanted: DataFrame | None = None) -> DataFrame:
     nothing = made.top.roots.select(
         "tree", F.lit([]).cast("array<array<string>>").alias("path"), F.lit([]).cast("array<int>").alias("digits")
     )
-    high = made.top.roots.select("tree", "height")
-    groups = made.groups.select(F.lit(0).cast("bigint").alias("tree"), F.col("tree").alias("at")).join(F.broadcast(high), "tree")
+    root = made.top.roots.first()
+    high = F.lit(root["height"] if root else 0).alias("height")
+    groups = made.groups.select(F.lit(0).cast("bigint").alias("tree"), high, F.col("tree").alias("at"))
     starts = descend(made.top, nothing, groups).select(F.col("at").alias("tree"), "path", "digits")
     walked = descend(made.trees, starts, requests)
     kept = [c for c in requests.columns if c not in ("tree", "height", "at")]
