@@ -97,15 +97,30 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_WIDE = {name: hash_sql(42, "label", f"'{name}'", "j") for name in ("base", "rank", "place")}
+
+
 @query(
     "smote_wide_o74",
-    """with n as (select label, count(*) as n from embeddings group by label)
-      select label, (select max(n) from n) as n, (select max(n) from n) - n as synthetic from n""",
+    f"""with v as (select label::varchar as label, row_number() over (partition by label order by vec_id) - 1 as id, embedding::double[] as x from embeddings),
+      n as (select label, count(*) as n, least(5, greatest(1, (select min(c) from (select count(*) as c from v group by label)) - 1)) as k from v group by label),
+      draws as (select label, j as draw, {_WIDE["base"]} % n as base, {_WIDE["rank"]} % k + 1 as rank, ({_WIDE["place"]} >> 8)::double / 4503599627370496.0 as place
+        from (select n.*, unnest(range((select max(n) from n) - n)) as j from n)),
+      wanted as (select distinct label, base from draws),
+      pairs as (select a.label, a.id, b.id as neighbour, list_sum(list_transform(list_zip(a.x, b.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d2
+        from v a join wanted w on w.label = a.label and w.base = a.id join v b on a.label = b.label and a.id <> b.id),
+      near as (select *, row_number() over (partition by label, id order by d2, neighbour) as rank from pairs),
+      made as (select d.label, d.draw, list_transform(list_zip(b.x, o.x), lambda p: p[1] + place * (p[2] - p[1])) as x from draws d
+        join near r on r.label = d.label and r.id = d.base and r.rank = d.rank
+        join v b on b.label = d.label and b.id = d.base join v o on o.label = d.label and o.id = r.neighbour)
+      select label, draw, round(x[1], 6) + 0.0 as first, round(x[64], 6) + 0.0 as last, round(list_sum(x), 6) + 0.0 as total from made""",
 )
 def oversample_wide(spark: SparkSession, sf: str) -> DataFrame:
-    grown = smote(vectors(spark, sf), EMBEDDING, "label", "vec_id")
-    return grown.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("synthetic")
+    """The synthetic rows between vectors of 64 features, one by one."""
+    grown = smote(vectors(spark, sf), EMBEDDING, "label", "vec_id").where("synthetic")
+    total = sum((F.col(e) for e in EMBEDDING[1:]), F.col(EMBEDDING[0]))
+    return grown.select(
+        F.col("label").cast("string").alias("label"), "draw", r6(EMBEDDING[0]).alias("first"), r6(EMBEDDING[-1]).alias("last"), r6(total).alias("total")
     )
 
 

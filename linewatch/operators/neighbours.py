@@ -1,4 +1,4 @@
-"""Nearest rows of the same class, without comparing all pairs of a class: exact, or with bounded work.
+"""Nearest rows of the same class, exact, without comparing all pairs of a class.
 
 Rows are projected on the direction of greatest variance. Distances along it
 never exceed true distances, so once a row knows k candidates at most d away, only
@@ -36,11 +36,9 @@ def main_direction(df: DataFrame, features: Sequence[str]) -> list[float]:
     return np.linalg.eigh(np.array(cov))[1][:, -1].tolist()
 
 
-def _cells(
-    df: DataFrame, features: Sequence[str], chunk_rows: int, direction: Sequence[float] | None = None
-) -> DataFrame:
+def _cells(df: DataFrame, features: Sequence[str], chunk_rows: int) -> DataFrame:
     """``label, id, x`` plus projection, cell, and chunk of the cell."""
-    direction = main_direction(df, features) if direction is None else direction
+    direction = main_direction(df, features)
     terms = [F.col(quoted(f)).cast("double") * F.lit(w) for f, w in zip(features, direction)]
     placed = df.select(
         "label",
@@ -66,24 +64,6 @@ def _cells(
     )
 
 
-def _full_cells(placed: DataFrame, chunk_rows: int) -> DataFrame:
-    """``placed`` with neighbouring cells put together, so that each holds half a chunk at least, or its whole class. The
-    windows see one row per cell, about one for each chunk of the table."""
-    counts = placed.groupBy("label", "cell").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("run", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / chunk_rows))
-    run = Window.partitionBy("label", "run")
-    counts = counts.withColumn("held", F.sum("n").over(run)).withColumn("first", F.min("cell").over(run))
-    # A run that holds little goes to the last one before it that holds more.
-    opens = (F.col("cell") == F.col("first")) & (2 * F.col("held") >= chunk_rows)
-    upto = Window.partitionBy("label").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    counts = counts.withColumn("group", F.greatest(F.lit(1), F.sum(opens.cast("int")).over(upto)))
-    whole = F.sum("n").over(Window.partitionBy("label", "group"))
-    merged = counts.select("label", "cell", "group", F.ceil(whole / chunk_rows).alias("chunks"))
-    regrouped = placed.drop("chunks", "chunk").join(merged, ["label", "cell"]).drop("cell").withColumnRenamed("group", "cell")
-    return regrouped.withColumn("chunk", F.pmod(stable_hash(F.col("id"), seed=1), F.col("chunks")))
-
-
 def _cell(p: Column) -> Column:
     """Cell number along the projection; the outer cells reach to infinity."""
     reached = F.size(F.filter("bounds", lambda b: b <= p))
@@ -146,46 +126,6 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-#: Random projections of the approximate search: so often is a row compared with a chunk.
-PROJECTIONS = 4
-
-
-def near_neighbours(
-    members: DataFrame,
-    features: Sequence[str],
-    k: int,
-    wanted: DataFrame | None = None,
-    chunk_rows: int = CHUNK_ROWS,
-    projections: int = PROJECTIONS,
-    seed: int = 42,
-) -> DataFrame:
-    """``label, id, neighbour, d2, rank``: the k nearest among the rows that fall into the same chunk under one of a few
-    projections, the main direction and random ones. Approximate, and the work of a row is constant: ``projections`` chunks,
-    whatever the number of features and rows. A class of at most ``chunk_rows`` rows is one chunk, and exact. A row that meets fewer
-    than k others searches its whole class, so each row has k neighbours if its class has."""
-    spark = members.sparkSession
-    rng = np.random.default_rng(seed)
-    found = None
-    for number in range(projections):
-        direction = None
-        if number:
-            drawn = rng.standard_normal(len(features))
-            direction = (drawn / np.linalg.norm(drawn)).tolist()
-        placed = materialise(spark, _full_cells(_cells(members, features, chunk_rows, direction), chunk_rows), "cells")
-        bases = placed if wanted is None else placed.join(wanted, ["label", "id"], "left_semi")
-        part = _search(bases, placed, k, chunk_rows)
-        found = part if found is None else found.unionByName(part)
-    near = materialise(spark, _best(found.dropDuplicates(["label", "id", "neighbour"]), k), "near")
-    # Chunks are dealt by hash, so few rows may be left with too few others: those search their whole class.
-    served = near.where(F.col("rank") == k).select("label", "id")
-    number = F.exists("x", lambda v: v.isNull() | F.isnan(v))
-    short = materialise(spark, bases.where(~number).select("label", "id").join(served, ["label", "id"], "left_anti"), "short")
-    if short.isEmpty():
-        return near
-    exact = nearest_neighbours(members, features, k, short, chunk_rows)
-    return near.join(short, ["label", "id"], "left_anti").unionByName(exact)
-
-
 def nearest_neighbours(
     members: DataFrame,
     features: Sequence[str],

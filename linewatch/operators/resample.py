@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from linewatch.config import DEFAULTS
 from linewatch.functions.numbers import stable_hash, unit_hash
-from linewatch.operators.neighbours import CHUNK_ROWS, near_neighbours, nearest_neighbours
+from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.ordering import dense_index
+from linewatch.operators.pivots import complete, near_neighbours
 from linewatch.schema import ROW_ID, quoted
 from linewatch.session import materialise
 
@@ -26,10 +27,10 @@ def neighbour_count(rarest: int) -> int:
 
 
 def _draws(sizes: DataFrame, most: int, k: int, seed: int) -> DataFrame:
-    """One row per missing row of a class: base position, neighbour rank, and the
+    """One row per missing row of a class (``rows`` of them, ``n`` complete): base position, neighbour rank, and the
     place on the segment, all from a seeded hash of class and number. Numbers are dealt out in runs, so a class that
     lacks many rows is many short arrays."""
-    missing = F.lit(most) - F.col("n")
+    missing = F.lit(most) - F.col("rows")
     last_run = F.floor((missing - 1) / DRAW_ROWS)
     runs = sizes.where(missing > 0).select(
         "label", "n", missing.alias("missing"), F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)).alias("run")
@@ -52,31 +53,35 @@ def smote(
     label: str,
     order: str = ROW_ID,
     seed: int = DEFAULTS.seed,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = None,
     bucket_rows: int = DEFAULTS.bucket_rows,
     exact: bool = False,
 ) -> DataFrame:
     """``label`` and features of all rows, plus synthetic rows until every class
     is as large as the largest. ``synthetic`` tells them apart, and ``draw`` numbers them within their class.
 
-    Neighbours are near ones, found with bounded work, or the nearest if ``exact``.
-    A class too small to have the wanted neighbours leaves the table as it is. Rows without a class are kept and are no class.
+    Neighbours are near ones, found with bounded work (:func:`near_neighbours`), or the nearest if ``exact``; ``chunk_rows`` overrides the size of what a row is
+    compared with at once. Rows with a null, NaN or infinite feature are kept and count in their class, but no synthetic row is made from them. A class with too few complete rows
+    for the wanted neighbours leaves the table as it is. Rows without a class are kept and are no class.
     """
     columns = [F.col(quoted(label)), *[F.col(quoted(f)).cast("double").alias(f) for f in features]]
     none = F.lit(None).cast("bigint").alias("draw")
     original = df.select(*columns, F.lit(False).alias("synthetic"), none)
     spark = df.sparkSession
     text = F.col(quoted(label)).cast("string")
-    sizes = df.where(text.isNotNull()).groupBy(text.alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    usable = complete(features)
+    sizes = df.where(text.isNotNull()).groupBy(text.alias("label")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(usable).alias("n")
+    )
     sizes = materialise(spark, sizes, "sizes")
-    classes, rarest, most = sizes.agg(F.count(F.lit(1)), F.min("n"), F.max("n")).first()
+    classes, rarest, most = sizes.agg(F.count(F.lit(1)), F.min("rows"), F.max("rows")).first()
     if classes < 2 or rarest == most:
         return original
+    small = sizes.where(F.col("rows") < most)
     k = neighbour_count(rarest)
-    if rarest <= k:
+    if small.agg(F.min("n")).first()[0] <= k:
         return original
-    small = sizes.where(F.col("n") < most).select(F.col("label").alias("_small"))
-    growing = df.join(small, text == F.col("_small"), "left_semi")
+    growing = df.where(usable).join(small.select(F.col("label").alias("_small")), text == F.col("_small"), "left_semi")
     indexed = dense_index(growing, order, [label], "_at", bucket_rows)
     plain = {f: f"f{i}" for i, f in enumerate(features)}
     members = materialise(
@@ -91,7 +96,7 @@ def smote(
     draws = materialise(spark, _draws(sizes, most, k, seed), "draws")
     wanted = draws.select("label", F.col("base").alias("id")).distinct()
     search = nearest_neighbours if exact else near_neighbours
-    near = search(members, list(plain.values()), k, wanted, chunk_rows)
+    near = search(members, list(plain.values()), k, wanted, **({"chunk_rows": chunk_rows} if chunk_rows else {}))
     picked = draws.join(
         near.select("label", F.col("id").alias("base"), "rank", "neighbour"), ["label", "base", "rank"]
     )

@@ -3,10 +3,12 @@
 from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from linewatch.config import Settings
+from linewatch.operators import pivots
 from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.resample import neighbour_count, smote
 from linewatch.operators.split import split_at
@@ -48,32 +50,85 @@ def test_nearest_neighbours_are_exact(spark, chunk_rows):
         assert np.allclose(mine["d2"].to_numpy().reshape(len(own), 5), brute_force(own, 5))
 
 
-def test_near_neighbours_do_bounded_work(spark, monkeypatch):
-    """Each row meets as many chunks as there are projections, at any size; small classes are exact."""
-    from linewatch.operators import neighbours
+def recall(found, points, k):
+    d2 = (points**2).sum(1)[:, None] + (points**2).sum(1)[None, :] - 2 * points @ points.T
+    np.fill_diagonal(d2, np.inf)
+    true = np.argsort(d2, axis=1)[:, :k]
+    mine = found.sort_values(["id", "rank"])["neighbour"].to_numpy().reshape(len(points), k)
+    return np.mean([len(set(a) & set(b)) / k for a, b in zip(true, mine)])
 
-    met = []
-    plain = neighbours._search
 
-    def counted(requests, members, k, chunk_rows):
-        met.append(requests.count())
-        return plain(requests, members, k, chunk_rows)
+def points_table(spark, points, label="a"):
+    """Through a file of its own form: as many rows as the searches are made for."""
+    frame = pd.DataFrame(points, columns=[f"f{i}" for i in range(points.shape[1])])
+    return spark.createDataFrame(frame.assign(id=np.arange(len(points)), label=label)), list(frame.columns)
+
 
-    monkeypatch.setattr(neighbours, "_search", counted)
+@pytest.mark.parametrize(("rows", "cell_rows", "least"), [(20_000, 800, 0.9), (3_000, pivots.CELL_ROWS, 1.0)])
+def test_near_neighbours_recall(spark, monkeypatch, rows, cell_rows, least):
+    """62 Gaussian features, which no cut can keep together: exact where a class has no more cells than a row may visit; with 25 cells, which are as many as
+    200,000 rows have at the default size, 16 of them are enough."""
+    met = []
     rng = np.random.default_rng(3)
-    for n in (200, 800):
-        points = rng.normal(size=(n, 20))
-        names = [f"f{i}" for i in range(20)]
-        df = spark.createDataFrame([("a", i, *map(float, p)) for i, p in enumerate(points)], ["label", "id", *names])
-        met.clear()
-        found = neighbours.near_neighbours(df, names, 3, chunk_rows=64).toPandas()
-        assert sum(met) == neighbours.PROJECTIONS * n
-        assert (found.groupby("id").size() == 3).all() and (found["neighbour"] != found["id"]).all()
-        best = brute_force(points, 3).mean()
-        spread = ((points - points.mean(axis=0)) ** 2).sum(axis=1).mean() * 2
-        assert best <= found["d2"].mean() < (best + spread) / 2
-    exact = neighbours.near_neighbours(df, names, 3, chunk_rows=2048).toPandas().sort_values(["id", "rank"])
-    assert np.allclose(exact["d2"].to_numpy().reshape(-1, 3), brute_force(points, 3))
+    points = rng.normal(size=(rows, 62))
+    df, names = points_table(spark, points)
+    visits = pivots._other_cells
+
+    def counted(asking, chunked, k, width):
+        met.append(asking.count())
+        return visits(asking, chunked, k, width)
+
+    monkeypatch.setattr(pivots, "_other_cells", counted)
+    found = pivots.near_neighbours(df, names, 5, chunk_rows=cell_rows).toPandas()
+    assert (found.groupby("id").size() == 5).all() and (found["neighbour"] != found["id"]).all()
+    assert recall(found, points, 5) >= least
+    assert sum(met) <= (pivots.PROBES - 1) * len(points)
+
+
+def test_near_neighbours_rule_out_cells(spark, monkeypatch):
+    """Clusters far apart: rows visit no other cluster, and all is exact."""
+    rng = np.random.default_rng(4)
+    points = np.concatenate([rng.normal(size=(300, 8)) + 1000 * rng.normal(size=8) for _ in range(6)])
+    df, names = points_table(spark, points)
+    met = []
+    visits = pivots._other_cells
+    monkeypatch.setattr(pivots, "_other_cells", lambda asking, *a: met.append(asking.count()) or visits(asking, *a))
+    found = pivots.near_neighbours(df, names, 3, chunk_rows=300).toPandas().sort_values(["id", "rank"])
+    assert np.allclose(found["d2"].to_numpy().reshape(-1, 3), brute_force(points, 3))
+    assert met[0] < 2 * len(points)
+
+
+def test_near_neighbours_odd_rows(spark):
+    """Copies, outliers, rare classes, rows that are not complete, and classes of one row."""
+    rng = np.random.default_rng(6)
+    points = np.concatenate([rng.normal(size=(200, 3)), np.tile([5.0, 5, 5], (150, 1)), [[1e7, 0, 0], [np.nan, 1, 1], [1, np.inf, 1]]])
+    rows = [("a", i, *map(float, p)) for i, p in enumerate(points)] + [("a", 900, None, 1.0, 1.0)]
+    rows += [("b", i, float(i), 0.0, 0.0) for i in range(4)] + [("c", 0, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "label string, id bigint, f0 double, f1 double, f2 double")
+    found = pivots.near_neighbours(df, ["f0", "f1", "f2"], 3, chunk_rows=40).toPandas().sort_values(["id", "rank"])
+    mine = found[found["label"] == "a"]
+    assert sorted(mine["id"].unique()) == list(range(351))
+    best = brute_force(points[:351], 3)
+    got = mine["d2"].to_numpy().reshape(-1, 3)
+    assert (got >= best - 1e-9).all() and np.allclose(got[200:350], 0) and np.median(got[:200] / best[:200]) < 1.01
+    assert found[(found["label"] == "b") & (found["id"] == 0)]["neighbour"].tolist() == [1, 2, 3]
+    assert "c" not in set(found["label"])
+    assert pivots.near_neighbours(df.limit(0), ["f0", "f1", "f2"], 3).count() == 0
+
+
+def test_compare_against_brute_force():
+    rng = np.random.default_rng(8)
+    b = np.round(rng.normal(size=(700, 4)), 1) + 1e6
+    for k in (1, 3, 9):
+        row, col, d2 = pivots.compare(b, b, k, np.arange(len(b)))
+        full = ((b[:, None, :] - b[None, :, :]) ** 2).sum(-1)
+        np.fill_diagonal(full, np.inf)
+        want = np.argsort(full, axis=1, kind="stable")[:, :k]
+        assert (row.reshape(-1, k) == np.arange(len(b))[:, None]).all()
+        assert np.allclose(d2.reshape(-1, k), np.take_along_axis(full, want, 1))
+        assert (col.reshape(-1, k) == want).mean() > 0.99
+    row, _, _ = pivots.compare(b[:3], b[:2], 5, np.array([0, 1, 0]))
+    assert row.tolist() == [0, 1, 2]
 
 
 def test_neighbour_count():
@@ -119,6 +174,24 @@ def test_smote_loses_no_draw(spark):
     assert {r.label: (r.n, r.draws) for r in made} == {0: (1500, 0), 1: (1500, 100), 2: (1500, 1440), 3: (1500, 1488)}
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_smote_with_incomplete_rows(spark, exact):
+    """Rows with a null, NaN or infinite feature stay and count in their class, and no synthetic row is made from them."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for c, n in {0: 80, 1: 40, 2: 9}.items():
+        rows += [(c, *map(float, p)) for p in rng.normal(c * 10, 1, (n, 2))]
+    rows += [(1, None, 1.0), (1, float("nan"), 1.0), (1, 2.0, float("inf")), (0, None, None), (2, None, 3.0), (None, 1.0, 1.0)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id bigint, label int, x double, y double")
+    grown = smote(df, ["x", "y"], "label", exact=exact).toPandas()
+    assert grown.groupby("label").size().to_dict() == {0: 81, 1: 81, 2: 81}
+    made = grown[grown["synthetic"]]
+    assert np.isfinite(made[["x", "y"]].to_numpy()).all() and (~grown["synthetic"]).sum() == len(rows)
+    # Too few complete rows: as it is.
+    few = spark.createDataFrame([(i, i % 2, float(i) if i % 2 == 0 or i < 4 else None) for i in range(30)] + [(99, 0, 1.0)], "row_id bigint, label int, x double")
+    assert smote(few, ["x"], "label", exact=exact).count() == 31
+
+
 def test_smote_leaves_tiny_classes_alone(spark):
     df = classes(spark, {0: 20, 1: 5, 2: 1})
     assert smote(df, ["x", "y"], "label").count() == 26
