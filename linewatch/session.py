@@ -53,9 +53,20 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{_session_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one folder of :func:`run_dir`. Tables that read it are void afterwards."""
+    if not path.startswith(_session_dir(spark) + "/"):
+        raise ValueError(f"{path} was not made by this session")
+    _delete(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this session has stored. Tables that read it are void afterwards."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))
+    _delete(spark, _session_dir(spark))
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linewatch.config import Settings
-from linewatch.operators import pivots
+from linewatch.operators import pivots, softmax_trees
 from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.resample import neighbour_count, smote
 from linewatch.operators.split import split_at
@@ -197,6 +197,80 @@ def test_smote_leaves_tiny_classes_alone(spark):
     assert smote(df, ["x", "y"], "label").count() == 26
 
 
+def plain_boosting(x, label, classes, rounds, depth, rate=0.1, ridge=1.0, least=1.0):
+    """Softmax boosting row by row and cut by cut, with the values of the features as bins: the margins of the rows."""
+    margins = np.zeros((len(x), classes))
+
+    def grow(rows, level, g, h, out):
+        G, H = g[rows].sum(), h[rows].sum()
+        best = (1e-6, None, None)
+        for f in range(x.shape[1]) if level < depth else ():
+            for edge in np.unique(x[rows, f])[:-1]:
+                left = x[rows, f] <= edge
+                a, b = rows[left], rows[~left]
+                if min(h[a].sum(), h[b].sum()) >= least:
+                    gain = g[a].sum() ** 2 / (h[a].sum() + ridge) + g[b].sum() ** 2 / (h[b].sum() + ridge) - G**2 / (H + ridge)
+                    if gain > best[0] + 1e-9 * (1 + abs(gain)):
+                        best = (gain, a, b)
+        if best[1] is None:
+            out[rows] -= rate * G / (H + ridge)
+        else:
+            for part in best[1:]:
+                grow(part, level + 1, g, h, out)
+
+    for _ in range(rounds):
+        p = np.exp(margins) / np.exp(margins).sum(axis=1, keepdims=True)
+        step = np.zeros_like(margins)
+        for c in range(classes):
+            grow(np.arange(len(x)), 0, p[:, c] - (label == c), 2 * p[:, c] * (1 - p[:, c]), step[:, c])
+        margins += step
+    return margins
+
+
+@pytest.fixture(scope="module")
+def three_classes(spark):
+    rng = np.random.default_rng(12)
+    x = rng.integers(0, 9, (600, 4)).astype(float)
+    label = (x[:, 0] > 4).astype(int) + ((x[:, 1] + x[:, 2] > 8) & (rng.random(600) < 0.9))
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abcd")).assign(label=label, row_id=np.arange(600))).repartition(3)
+    return x, label, df, plain_boosting(x, label, 3, 4, 3)
+
+
+@pytest.mark.parametrize("local_cells", [4_000_000, 800, 1])
+def test_softmax_trees_against_plain(spark, three_classes, local_cells):
+    """As one task, level by level with small nodes finished alone, and level by level to the end."""
+    x, label, df, want = three_classes
+    model = softmax_trees.softmax_trees(df, list("abcd"), "label", 3, 4, softmax_trees.Shape(depth=3), local_cells=local_cells)
+    assert np.allclose(model.margins(x), want, atol=1e-9)
+    if local_cells == 1:
+        path = run_dir(spark, "model")
+        model.save(spark, path)
+        again = softmax_trees.SoftmaxTrees.load(spark, path)
+        out = predict(again, assemble(df, list("abcd"), ["row_id"])).toPandas().sort_values("row_id")
+        e = np.exp(want)
+        assert np.allclose(np.array(out["probabilities"].tolist()), e / e.sum(axis=1, keepdims=True))
+        assert (out["prediction"] == want.argmax(axis=1)).all()
+
+
+def test_search_by_levels_is_the_search_alone(spark, three_classes):
+    _, _, df, _ = three_classes
+    settings = Settings(trees=(2, 4), depths=(2, 3), folds=2)
+    one, two = (grid_search(df, list("abcd"), "label", "row_id", settings, local_cells=n) for n in (4_000_000, 500))
+    assert one.candidates == two.candidates and one.best == two.best and len(one.candidates) == 4
+    assert all(np.array_equal(a.feature, b.feature) and np.allclose(a.value, b.value) for r, q in zip(one.model.trees, two.model.trees) for a, b in zip(r, q))
+
+
+def test_softmax_trees_odd_tables(spark):
+    """Null and NaN features, rows without a label, a constant feature, classes that no row has, an empty table."""
+    rows = [(i % 2, float(i % 2) if i % 5 else None, float("nan") if i % 3 else 1.0, 7.0) for i in range(60)] + [(None, 1.0, 1.0, 1.0)] * 9
+    df = spark.createDataFrame(rows, "label int, a double, b double, c double")
+    model = softmax_trees.softmax_trees(df, ["a", "b", "c"], "label", 4, 30)
+    p = predict(model, assemble(df.fillna(0), ["a", "b", "c"], ["label"])).where("a = 1").select("probabilities").first()[0]
+    assert len(p) == 4 and p[1] > 0.9 and sum(p) == pytest.approx(1)
+    nothing = softmax_trees.softmax_trees(df.limit(0), ["a", "b", "c"], "label", 3, 5)
+    assert np.allclose(nothing.margins(np.ones((2, 3))), 0)
+
+
 def test_classifier_and_search(spark):
     df = classes(spark, {0: 150, 1: 150, 2: 150, 3: 150})
     settings = Settings(trees=(2, 3), depths=(2,), folds=2)
