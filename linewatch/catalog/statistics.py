@@ -369,6 +369,18 @@ def drift(spark: SparkSession, sf: str) -> DataFrame:
     return detect_drift(placed, ["x", "y", "z"], by=["machine"]).select("machine", "feature", "seq")
 
 
+@query(
+    "detect_drift_short_steps_o55",
+    """with p as (select event_id, user_id % 4 as machine, row_number() over (partition by user_id % 4 order by event_id) - 1 as p from events)
+      select machine::varchar as machine, 'x' as feature, event_id as seq from p where p >= 63 and p % 32 = 31 and p % 160 <> 159""",
+)
+def drift_short(spark: SparkSession, sf: str) -> DataFrame:
+    """Steps every 40 values, which only sides shorter than a look apart can tell: four looks of five find one."""
+    rows = table(spark, sf, "events").selectExpr("event_id as row_id", "user_id % 4 as machine")
+    placed = dense_index(rows, by=["machine"], out="p").selectExpr("row_id", "machine", "(p div 40) % 2 * 10D as x", "7D as z")
+    return detect_drift(placed, ["x", "z"], by=["machine"]).select("machine", "feature", "seq")
+
+
 @query(
     "drift_per_message_o56",
     f"""with f as (select event_id as seq, {SEEN.format(p="event_id", step=STEP)} as x, {SEEN.format(p="event_id", step=2 * STEP)} as y from events)
@@ -413,10 +425,8 @@ def drift_roll_up_given(spark: SparkSession, sf: str) -> DataFrame:
 def warm(spark: SparkSession, sf: str) -> DataFrame:
     """How many values the detectors have seen, and their sum: that of the hash-ordered sample."""
     states = warm_detectors(numbers(spark, sf).withColumn("constant", F.lit(7.0)), ["s2", "constant"])
-    kind = "width bigint, total double, drifted boolean, seen bigint, pending array<double>"
-    parsed = states.select("feature", F.from_json("state", kind).alias("s"))
-    total = F.col("s.total") + F.col("s.pending")[1]
-    return parsed.select("feature", F.col("s.seen").alias("seen"), r6(total, 4).alias("total"), F.col("s.drifted").alias("drifted"))
+    parsed = states.select("feature", F.from_json("state", "sum double, drifted boolean, seen bigint").alias("s"))
+    return parsed.select("feature", F.col("s.seen").alias("seen"), r6(F.col("s.sum"), 4).alias("total"), F.col("s.drifted").alias("drifted"))
 
 
 @query(
