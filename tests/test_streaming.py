@@ -11,7 +11,7 @@ from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
-from linewatch.streaming.drift import drift_stream
+from linewatch.streaming.drift import drift_stream, latest_states
 from linewatch.streaming.replay import pace, write_replay
 from linewatch.streaming.score import score, score_stream
 
@@ -115,6 +115,44 @@ def test_drift_stream_with_restart(spark):
     assert last["count"] == 60 and last.seen == 600
 
 
+def test_drift_stream_starts_warm_and_takes_new_features(spark):
+    """A warmed detector goes on; a feature that joins at a restart starts anew, as do groups that turn up; what is left starts a stored table."""
+    from linewatch.operators.drift import states_of
+
+    df = spark.range(900).selectExpr(
+        "id as row_id", "if(id < 600, id % 2, id % 3) as m", "case when id < 500 then 0D else 40D end + id % 10 as x",
+        "case when id % 5 = 0 then double('NaN') when id < 700 then 1D else 9D end as late",
+    )
+    kind = "row_id bigint, m bigint, x double, late double"
+    source, path, checkpoint = (run_dir(spark, n) for n in ("in", "out", "check"))
+    warm = states_of(detect_with_states(df.where("row_id < 210"), ["x"], by=["m"]))
+
+    def go(features):
+        lines = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+        parsed = lines.select(F.from_json("value", kind).alias("m")).select("m.*")
+        query = drift_stream(parsed, features, path, checkpoint, by=["m"], every=7, warm=warm, stats={"x": {"mean": 3.0, "std": 2.0, "count": 5}})
+        assert query.awaitTermination(240)
+
+    write_replay(df.where("row_id >= 210 and row_id < 400"), source, rows_per_file=95)
+    go(["x"])
+    write_replay(df.where("row_id >= 400"), source, rows_per_file=125)
+    go(["x", "late"])
+    want = changes_of(detect_with_states(df, ["x"], by=["m"]), ["m"]).where("seq >= 210")
+    want = want.unionByName(changes_of(detect_with_states(df.where("row_id >= 400"), ["late"], by=["m"]), ["m"]))
+    got = spark.read.parquet(f"{path}/changes").select("m", "feature", "seq")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select("m", "feature", "seq").collect()))
+    assert {r.feature for r in got.collect()} == {"x", "late"}
+    left = latest_states(spark, path)
+    assert left.count() == 6
+    plain = states_of(detect_with_states(df, ["x"], by=["m"])).select("group.m", "state")
+    assert sorted(map(tuple, left.where("feature = 'x'").select("group.m", "state").collect())) == sorted(map(tuple, plain.collect()))
+    start = {"x": dict(mean=3.0, std=2.0, min=0.0, max=1.0, count=5)}
+    dense = df.where("row_id >= 210").withColumn("row_id", F.col("row_id") - 210)
+    moved = moving_statistics(dense, ["x"], every=7, start=start).first()
+    last = spark.read.parquet(f"{path}/stats").where("feature = 'x'").orderBy(F.desc("batch_id")).first()
+    assert (last.seen, last["count"]) == (690, moved["count"]) and last["mean"] == pytest.approx(moved["mean"]) and last["std"] == pytest.approx(moved["std"])
+
+
 def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
     """Messages without a counter or a machine, broken ones, and unknown fields, over three batches."""
     bundle = small_bundle(spark, sf)
