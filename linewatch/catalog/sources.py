@@ -12,6 +12,7 @@ from linewatch.catalog.base import (
     SENSORS,
     TORQUE,
     VOLTAGE,
+    hash_sql,
     machine_events,
     query,
     r6,
@@ -25,6 +26,7 @@ from linewatch.operators.temporal import SensorFit
 from linewatch.schema import quoted, raw_schema
 from linewatch.session import run_dir
 from linewatch.sources.bundle import Bundle, load_bundle, save_bundle
+from linewatch.sources.log import write_message_log
 from linewatch.sources.messages import decode, message_source, to_messages
 from linewatch.sources.runlog import append_run, count_rows, run_rows
 from linewatch.sources.tables import (
@@ -145,6 +147,31 @@ def paced_replay(spark: SparkSession, sf: str) -> DataFrame:
     return seen.select(F.get_json_object("value", "$.row_id").cast("bigint").alias("row_id"), "batch")
 
 
+@query(
+    "message_log_o06",
+    f"""with {RAW_SQL}, p as (select row_id, machine, ({hash_sql(0, "coalesce(machine, '')")} % 3)::int as partition from raw),
+      o as (select *, row_number() over (partition by partition order by row_id) - 1 as "offset" from p)
+      select row_id, machine, partition, "offset", 1000 * ("offset" * 30 + 1700000000) as sent_ms, case when "offset" <= 1000 then 0 else 1 end as run from o""",
+)
+def log_replay(spark: SparkSession, sf: str) -> DataFrame:
+    """A log of three partitions, read by offsets in two runs: what its clock has published by then, and the rest after a restart."""
+    path, out, checkpoint = (run_dir(spark, n) for n in ("log", "logged", "log-checkpoint"))
+    start = 1_700_000_000_000
+    write_message_log(machine_events(spark, sf), path, partitions=3, start_ms=start, rows_per_file=777)
+    for run, now in enumerate((start + 1000 * 30_000 + 5, start + 10**12)):
+        stream = message_source(spark, {"kind": "log", "path": path, "now_ms": str(now)})
+        rows = stream.withColumn("run", F.lit(run))
+        rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.parquet(out).select(
+        F.get_json_object("value", "$.row_id").cast("bigint").alias("row_id"),
+        F.get_json_object("value", "$.Machine_ID").alias("machine"),
+        "partition",
+        "offset",
+        F.unix_millis("sent_at").alias("sent_ms"),
+        "run",
+    )
+
+
 @query("message_source_o07", f"with {RAW_SQL} select row_id, machine from raw")
 def source(spark: SparkSession, sf: str) -> DataFrame:
     path = run_dir(spark, "messages")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +13,8 @@ from linewatch.schema import CATEGORIES, quoted
 BAD = "_bad"
 
 
-def to_messages(df: DataFrame, drop: Sequence[str] = ("Downtime",), key: str = "Machine_ID") -> DataFrame:
-    """``key, value``: each row as a JSON object without the label; nulls and NaN
-    are written as null."""
+def message_columns(df: DataFrame, drop: Sequence[str] = ("Downtime",), key: str = "Machine_ID") -> list[Column]:
+    """``key`` and ``value``: a row as a JSON object without the label; nulls and NaN are written as null."""
 
     def clean(field: T.StructField):
         c = F.col(quoted(field.name))
@@ -26,8 +25,13 @@ def to_messages(df: DataFrame, drop: Sequence[str] = ("Downtime",), key: str = "
     body = F.struct(*[clean(f) for f in df.schema.fields if f.name not in drop])
     value = F.to_json(body, {"ignoreNullFields": "false"}).alias("value")
     if key not in df.columns:
-        return df.select(F.lit(None).cast("string").alias("key"), value)
-    return df.select(F.col(quoted(key)).cast("string").alias("key"), value)
+        return [F.lit(None).cast("string").alias("key"), value]
+    return [F.col(quoted(key)).cast("string").alias("key"), value]
+
+
+def to_messages(df: DataFrame, drop: Sequence[str] = ("Downtime",), key: str = "Machine_ID") -> DataFrame:
+    """The :func:`message_columns` of all rows."""
+    return df.select(*message_columns(df, drop, key))
 
 
 def kafka_options(
@@ -52,9 +56,9 @@ SOURCE_ORDER = ["sent_at", "partition", "offset"]
 
 
 def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
-    """A stream of ``value`` text from ``{"kind": "kafka", ...options}``, with the message's timestamp, partition and
-    offset, or ``{"kind": "files", "path": ..., "files_per_trigger": ...}``. A log must come with
-    ``maxOffsetsPerTrigger``, which bounds a micro-batch."""
+    """A stream of ``value`` text from ``{"kind": "kafka", ...options}`` or ``{"kind": "log", "path": ...}`` (a stored log), with the message's timestamp, partition and
+    offset, or ``{"kind": "files", "path": ..., "files_per_trigger": ...}``. A broker's log must come with
+    ``maxOffsetsPerTrigger``, which bounds a micro-batch; a stored one is paced by its interval."""
     options = {k: v for k, v in config.items() if k not in ("kind", "path", "files_per_trigger")}
     if config["kind"] == "kafka":
         if "maxOffsetsPerTrigger" not in options:
@@ -63,6 +67,10 @@ def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
         return stream.select(
             F.col("value").cast("string").alias("value"), F.col("timestamp").alias("sent_at"), "partition", "offset"
         )
+    if config["kind"] == "log":
+        from linewatch.sources.log import read_message_log
+
+        return read_message_log(spark, config["path"], **options).select("value", *SOURCE_ORDER)
     if config["kind"] == "files":
         per_trigger = str(config.get("files_per_trigger", 1))
         reader = spark.readStream.options(**options).option("maxFilesPerTrigger", per_trigger)

@@ -9,6 +9,7 @@ from linewatch.catalog.models import sent_rows, small_bundle
 from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, moving_statistics
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
+from linewatch.sources.log import write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
 from linewatch.streaming.drift import drift_stream, latest_states
@@ -212,6 +213,58 @@ def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
         go(run_dir(spark, "another"))
 
 
+def test_message_log_is_read_by_offsets(spark):
+    """What the clock has published, then the rest; empty partitions; rows without a key; a log that has not begun."""
+    df = spark.range(500).selectExpr("id * 3 as row_id", "if(id % 7 = 0, null, concat('M', id % 5)) as Machine_ID", "cast(id as double) as a", "'x' as Downtime")
+    path, out, checkpoint = (run_dir(spark, n) for n in ("log", "out", "check"))
+    write_message_log(df, path, partitions=6, interval_ms=10, start_ms=1_000, rows_per_file=16)
+
+    def go(now, log=path, to=out, check=checkpoint):
+        stream = message_source(spark, {"kind": "log", "path": log, "now_ms": str(now)})
+        query = stream.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(to)
+        assert query.awaitTermination(120)
+        return spark.read.schema("value string, sent_at timestamp, partition int, offset bigint").parquet(to)
+
+    assert go(999).count() == 0
+    assert go(1_000 + 370).groupBy("partition").agg(F.max("offset").alias("m")).where("m > 37").count() == 0
+    rows = [(r.partition, r.offset, json.loads(r.value), r.sent_at) for r in go(10**9).collect()]
+    assert sorted(r[2]["row_id"] for r in rows) == list(range(0, 1500, 3)) and "Downtime" not in rows[0][2]
+    by_partition = {}
+    for p, offset, message, sent in sorted(rows, key=lambda r: r[:2]):
+        by_partition.setdefault(p, []).append((offset, message))
+        assert sent.timestamp() * 1000 == pytest.approx(1_000 + 10 * offset)
+    for held in by_partition.values():
+        assert [o for o, _ in held] == list(range(len(held)))
+        assert [m["row_id"] for _, m in held] == sorted(m["row_id"] for _, m in held)
+    keys = [{m["Machine_ID"] for _, m in held} for held in by_partition.values()]
+    assert sum(map(len, keys)) == 6 and len(keys) < 6  # a key has one partition
+    empty = run_dir(spark, "empty")
+    write_message_log(df.limit(0), empty, partitions=2)
+    assert go(10**9, empty, run_dir(spark, "out"), run_dir(spark, "check")).count() == 0
+
+
+def test_score_stream_over_a_log(spark, sf):
+    """An ordered source: messages are numbered by time, partition and offset, over two runs."""
+    bundle = small_bundle(spark, sf)
+    rows = sent_rows(spark, sf).where("`Unnamed: 0` < 240")
+    path, results, checkpoint = (run_dir(spark, n) for n in ("log", "results", "check"))
+    write_message_log(rows, path, "Unnamed: 0", partitions=2, interval_ms=1000, rows_per_file=25)
+    clock = F.to_timestamp(F.lit("2024-01-01 10:20:30"))
+    for now in (50_000, 10**9):
+        stream = message_source(spark, {"kind": "log", "path": path, "now_ms": str(now)})
+        assert score_stream(stream, bundle, results, checkpoint, clock).awaitTermination(400)
+    refused = rows.where("Machine_ID is null").count()
+    scored = spark.read.parquet(f"{results}/scored")
+    stored = spark.read.parquet(f"{path}/rows").selectExpr("sent_at", "partition", "offset", "cast(get_json_object(value, '$[\\'Unnamed: 0\\']') as bigint) as sent", "key")
+    first = [r.sent for r in stored.where("offset <= 50 and key is not null").orderBy("sent_at", "partition", "offset").collect()]
+    later = [r.sent for r in stored.where("offset > 50 and key is not null").orderBy("sent_at", "partition", "offset").collect()]
+    got = [int(r.sent) for r in scored.orderBy("seq").select(F.col("data.`Unnamed: 0`").alias("sent")).collect()]
+    assert got == first + later and len(got) == 240 - refused and later
+    assert [r.seq for r in scored.select("seq").orderBy("seq").collect()] == list(range(len(got)))
+    plain = score(to_messages(rows).select("value"), bundle, clock).select("data.Unnamed: 0", "predicted_downtime", "confidence")
+    assert scored.select("data.Unnamed: 0", "predicted_downtime", "confidence").exceptAll(plain).count() == 0
+
+
 def test_score_stream_with_history(spark, sf):
     """Features over a machine's last readings do not depend on where the batches are cut."""
     bundle = small_bundle(spark, sf)
