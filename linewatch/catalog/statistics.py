@@ -24,6 +24,7 @@ from linewatch.operators.drift import (
 from linewatch.operators.encode import Scaler, fit_labels, fit_one_hot, label_encode, one_hot
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
 from linewatch.operators.metrics import CONFIDENCE_BUCKETS, drifted_features, service_counters
+from linewatch.operators.moments import CoMoments, co_moments, merged
 from linewatch.operators.ordering import dense_index
 from linewatch.operators.quantiles import exact_percentiles, medians
 from linewatch.operators.stats import (
@@ -154,6 +155,24 @@ def scaled_lines(spark: SparkSession, sf: str) -> DataFrame:
     return Scaler.fit(lines, ["l_quantity", "l_discount"]).transform(lines)
 
 
+@query(
+    "merged_moments_o35",
+    """with l as (select l_quantity as a, case when l_linenumber = 3 then null else l_discount end as b, l_tax as c from lineitem where l_linenumber <> 3)
+      select 'a' as x, 'b' as y, count(*) as n, round(avg(a), 6) as mean_x, round(covar_samp(a, b), 6) as cov from l
+      union all select 'b', 'c', count(*), round(avg(b), 6), round(covar_samp(b, c), 6) from l
+      union all select 'c', 'c', count(*), round(avg(c), 6), round(var_samp(c), 6) from l""",
+)
+def merged_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """Moments of three parts of a table, fitted apart, saved as text and merged; rows with a null take no part."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey % 3 as part", "l_quantity as a", "if(l_linenumber = 3, null, l_discount) as b", "l_tax as c")
+    names = ["a", "b", "c"]
+    saved = [co_moments(lines.where(F.col("part") == p), names).to_json() for p in range(3)]
+    held = merged(map(CoMoments.from_json, saved), 3)
+    cov = held.covariance()
+    rows = [(x, y, held.n, round(held.mean[names.index(x)], 6), round(cov[names.index(x)][names.index(y)], 6) + 0.0) for x, y in ("ab", "bc", "cc")]
+    return spark.createDataFrame(rows, "x string, y string, n bigint, mean_x double, cov double")
+
+
 @query(
     "covariance_matrix_o35",
     f"""with {SCALED_SQL} select 0 as i, 0 as j, round(var_samp(q), 6) + 0.0 as cov from z

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linewatch.functions.numbers import finite_or_null
+from linewatch.operators.moments import co_moments
 from linewatch.schema import quoted
 
 # Fixed value: the least deviation in reference statistics.
@@ -91,20 +90,7 @@ def covariance_rows(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def mean_and_covariance(df: DataFrame, features: Sequence[str]) -> tuple[list[float], list[list[float]]]:
-    """Mean vector and sample covariance matrix. Their size depends on the number
+    """Mean vector and sample covariance matrix of the complete rows, in one pass. Their size depends on the number
     of features only, so both come to the driver."""
-    row = df.agg(
-        *[F.avg(quoted(c)) for c in features], *[F.stddev_samp(quoted(c)) for c in features]
-    ).first()
-    width = len(features)
-    means, stds = list(row[:width]), [s or 0.0 for s in row[width:]]
-    # Positions as names: a vector column cannot be assembled from names with dots.
-    plain = df.select(*[F.col(quoted(c)).alias(f"f{i}") for i, c in enumerate(features)])
-    vectors = VectorAssembler(inputCols=plain.columns, outputCol="v").transform(plain).select("v")
-    corr = Correlation.corr(vectors, "v").first()[0].toArray()
-
-    def cov(i: int, j: int) -> float:
-        r = float(corr[i, j])
-        return 0.0 if r != r else r * stds[i] * stds[j]
-
-    return means, [[cov(i, j) for j in range(width)] for i in range(width)]
+    held = co_moments(df, features)
+    return held.mean, held.covariance()

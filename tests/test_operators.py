@@ -15,10 +15,12 @@ from linewatch.operators.columns import align, drop_unused
 from linewatch.operators.encode import Scaler, fit_one_hot, label_encode, one_hot
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
 from linewatch.operators.quantiles import exact_percentiles
+from linewatch.operators.moments import CoMoments, co_moments, merged
 from linewatch.operators.split import raw_split_point, sample_rows, stratified_folds
 from linewatch.operators.split import test_split_point as split_point
 from linewatch.operators.stats import mean_and_covariance, reference_statistics
 from linewatch.plans.features import serving_features
+from linewatch.session import run_dir
 
 DATES = [
     ("1/5/2024", "2024-01-05"),
@@ -187,6 +189,38 @@ def test_covariance_and_mahalanobis(spark):
     assert flags.sum() == (want > np.percentile(want, 99)).sum()
 
 
+def test_moments_merge_in_any_order(spark):
+    """Far from zero, over empty and tiny parts, with rows that are not complete; a model of merged parts is that of the whole."""
+    rng = np.random.default_rng(4)
+    x = 1e6 + rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4))
+    rows = [(i, *map(float, r)) for i, r in enumerate(x)] + [(1000, None, 1.0, 1.0, 1.0), (1001, 1.0, float("nan"), 1.0, 1.0), (1002, 1.0, 1.0, float("inf"), 1.0)]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, c double, d double").repartition(9)
+    whole = co_moments(df, list("abcd"))
+    assert whole.n == 300 and np.allclose(whole.covariance(), np.cov(x, rowvar=False), rtol=1e-7)
+    parts = [co_moments(df.where(c), list("abcd")) for c in ("id < 1", "id >= 1 and id < 200", "id >= 200", "id < 0")]
+    assert [p.n for p in parts] == [1, 199, 100, 0]
+    for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2)):
+        both = merged([CoMoments.from_json(parts[i].to_json()) for i in order], 4)
+        assert both.n == 300 and np.allclose(both.mean, x.mean(axis=0)) and np.allclose(both.covariance(), whole.covariance(), rtol=1e-7)
+    again = fit_mahalanobis(df, list("abcd"), moments=both)
+    assert again.threshold == pytest.approx(fit_mahalanobis(df, list("abcd")).threshold, rel=1e-5)
+    assert merged([], 2).covariance() == [[0.0, 0.0], [0.0, 0.0]] and parts[0].covariance() == [[0.0] * 4] * 4
+
+
+def test_one_scan_before_the_distances(spark):
+    df = spark.range(1000).selectExpr("cast(id as double) as a", "cast(id % 7 as double) as b")
+    path = run_dir(spark, "scanned")
+    df.write.parquet(path)
+    done = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("moments", "")
+    try:
+        co_moments(spark.read.schema(df.schema).parquet(path), ["a", "b"])
+        jobs = done.getJobIdsForGroup("moments")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert 1 <= len(jobs) <= 2
+
+
 def test_distance_needs_the_right_width(spark):
     with pytest.raises(ValueError):
         mahalanobis_distance([F.lit(1.0)], AnomalyModel([0.0, 0.0], [[1.0, 0.0], [0.0, 1.0]]))
