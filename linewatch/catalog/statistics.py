@@ -27,6 +27,7 @@ from linewatch.operators.metrics import CONFIDENCE_BUCKETS, drifted_features, se
 from linewatch.operators.moments import CoMoments, co_moments, merged
 from linewatch.operators.ordering import dense_index
 from linewatch.operators.quantiles import exact_percentiles, medians
+from linewatch.operators.sketches import merge_sketches, percentile_sketches, rank_error, sketched_percentiles
 from linewatch.operators.stats import (
     covariance_rows,
     fit_scaler,
@@ -37,6 +38,7 @@ from linewatch.operators.stats import (
     value_counts,
 )
 from linewatch.functions.labels import label_name
+from linewatch.session import materialise, run_dir
 
 
 def sql_rows(columns: list[str], row: str) -> str:
@@ -200,6 +202,30 @@ def percentile(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "sketched_percentiles_o36",
+    sql_rows(LINE_FEATURES, "select '{c}' as feature, share::double as share, count(*) as n, true as within from lineitem, (values (0.5), (0.99)) s(share) group by share"),
+)
+def sketched(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles from sketches of three parts of a table, stored and merged: does the rank of each lie within the stated error, twice, of the wanted one?"""
+    lines = table(spark, sf, "lineitem")
+    path = run_dir(spark, "sketches")
+    for part in range(3):
+        percentile_sketches(lines.where(F.col("l_orderkey") % 3 == part), LINE_FEATURES).write.mode("append").parquet(path)
+    stored = materialise(spark, merge_sketches(spark.read.parquet(path)), "merged")
+    values = [(c, share, v) for share in (0.5, 0.99) for c, v in sketched_percentiles(stored, share).items()]
+    ranks = lines.agg(
+        *[F.array(F.avg((F.col(c) < v).cast("int")), F.avg((F.col(c) <= v).cast("int"))).alias(f"r{i}") for i, (c, _, v) in enumerate(values)]
+    )
+    slack = 2 * rank_error()
+    rows = [
+        F.struct(F.lit(c).alias("feature"), F.lit(share).alias("share"), F.lit(share).between(F.col(f"r{i}")[0] - slack, F.col(f"r{i}")[1] + slack).alias("within"))
+        for i, (c, share, _) in enumerate(values)
+    ]
+    sizes = stored.select(F.col("column").alias("feature"), "n")
+    return ranks.select(F.inline(F.array(*rows))).join(sizes, "feature").select("feature", "share", "n", "within")
+
+
 SCORES_SQL = """counts as (select {label} as l, {prediction} as p, count(*) as n from {table} group by all),
   classes as (select l as c from counts union select p from counts),
   sums as (select c, coalesce((select sum(n) from counts where l = c), 0)::bigint as support,

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from linewatch.functions.numbers import number_of
+from linewatch.operators.sketches import percentile_sketches, sketched_percentiles
 from linewatch.session import materialise
 
 # Values of a column that meet in one row at most: what is longer is narrowed first,
@@ -145,7 +146,11 @@ def medians(
     columns: Sequence[str],
     exact_rows: int = EXACT_ROWS,
     counts: Mapping[str, int] | None = None,
+    approximate: int | None = None,
 ) -> dict[str, float]:
-    """Column medians; 0 for a column without any number."""
-    found = exact_percentiles(df, columns, 0.5, exact_rows, counts=counts)
+    """Column medians; 0 for a column without any number. ``approximate`` is the size of a sketch to take them from, in one pass."""
+    if approximate:
+        found = sketched_percentiles(percentile_sketches(df, columns, approximate), 0.5)
+    else:
+        found = exact_percentiles(df, columns, 0.5, exact_rows, counts=counts)
     return {c: 0.0 if m is None else m for c, m in found.items()}

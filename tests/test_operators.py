@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from linewatch.operators.calendar import add_calendar_features, reconstruct_date
 from linewatch.operators.columns import align, drop_unused
 from linewatch.operators.encode import Scaler, fit_one_hot, label_encode, one_hot
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
-from linewatch.operators.quantiles import exact_percentiles
+from linewatch.operators.quantiles import exact_percentiles, medians
+from linewatch.operators.sketches import merge_sketches, percentile_sketches, rank_error, sketched_percentiles
 from linewatch.operators.moments import CoMoments, co_moments, merged
 from linewatch.operators.split import raw_split_point, sample_rows, stratified_folds
 from linewatch.operators.split import test_split_point as split_point
@@ -207,6 +209,28 @@ def test_moments_merge_in_any_order(spark):
     assert merged([], 2).covariance() == [[0.0, 0.0], [0.0, 0.0]] and parts[0].covariance() == [[0.0] * 4] * 4
 
 
+def test_sketches_keep_their_rank_error(spark):
+    """Ranks within the stated error, twice; merged from parts, with nulls, text that is no number, and a column without numbers."""
+    rng = np.random.default_rng(5)
+    values = {"even": rng.random(4000), "skewed": rng.exponential(1, 4000) ** 4, "few": rng.integers(0, 3, 4000).astype(float)}
+    frame = pd.DataFrame(values).assign(id=np.arange(4000))
+    df = spark.createDataFrame(frame).selectExpr("*", "if(id % 2 = 0, 'bad', cast(even as string)) as text", "cast(null as double) as none", "if(id % 3 = 0, double('NaN'), even) as holes")
+    names = ["even", "skewed", "few", "text", "none", "holes"]
+    parts = [percentile_sketches(df.where(f"id % 3 = {p}"), names, 400) for p in range(3)]
+    whole = merge_sketches(*parts)
+    held = df.toPandas()
+    for share in (0.01, 0.5, 0.99):
+        got = sketched_percentiles(whole, share)
+        assert got["none"] is None
+        for c in names[:4] + ["holes"]:
+            x = pd.to_numeric(held[c], errors="coerce").dropna().to_numpy()
+            assert (x < got[c]).mean() - 2 * rank_error(400) <= share <= (x <= got[c]).mean() + 2 * rank_error(400)
+    near = medians(df, ["even", "none"], approximate=800)
+    assert near["none"] == 0 and abs(near["even"] - 0.5) < 0.05
+    exact, rough = fit_mahalanobis(df, ["even", "skewed"]), fit_mahalanobis(df, ["even", "skewed"], approximate=800)
+    assert exact.mean == rough.mean and 0.5 * exact.threshold < rough.threshold < 2 * exact.threshold
+
+
 def test_one_scan_before_the_distances(spark):
     df = spark.range(1000).selectExpr("cast(id as double) as a", "cast(id % 7 as double) as b")
     path = run_dir(spark, "scanned")
