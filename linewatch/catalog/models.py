@@ -40,6 +40,7 @@ from linewatch.schema import TARGET, quoted
 from linewatch.session import materialise, run_dir
 from linewatch.sources.bundle import Bundle, bundle_profile, load_bundle, save_bundle
 from linewatch.sources.messages import message_source, to_messages
+from linewatch.streaming.counters import current_counters, live_counters as follow_counters
 from linewatch.streaming.drift import drift_stream
 from linewatch.streaming.replay import write_replay
 from linewatch.streaming.score import counter_stream, score, score_stream
@@ -491,3 +492,28 @@ def live_counters(spark: SparkSession, sf: str) -> DataFrame:
     )
     started.awaitTermination()
     return spark.read.parquet(path).select("metric", r6("value", 4).alias("value"))
+
+
+@query(
+    "live_counters_stream_o93",
+    f"""with {GOOD_SQL}, c as (select count(*)::double as n, (count(*) filter (is_anomaly))::double as a, (count(*) filter (confidence <= 0.5))::double as low,
+        (count(*) filter (confidence <= 0.75))::double as mid from sent)
+      select 'predictions_total' as metric, n as value from c union all select 'anomalies_detected_total', a from c union all select 'prediction_confidence_count', n from c
+      union all select 'prediction_confidence_bucket_le_0.5', low from c union all select 'prediction_confidence_bucket_le_0.75', mid from c
+      union all select 'prediction_confidence_bucket_le_+Inf', n from c union all select 'model_health_status', 1.0 from c
+      union all select distinct concat('feature_drift_', '{VOLTAGE.replace("(", "_").replace(")", "_")}'), 1.0 from sent where drift""",
+)
+def counters_of_a_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The counters that follow a scoring stream, stopped and started again between its batches."""
+    fitted = small_bundle(spark, sf)
+    source, results, out, checkpoint, counted = (run_dir(spark, n) for n in ("sent", "results", "live", "results-checkpoint", "live-checkpoint"))
+    n = table(spark, sf, "events").agg(F.max("event_id")).first()[0]
+    for low, high in ((0, n // 2), (n // 2, n + 1)):
+        part = sent_rows(spark, sf).where(F.col("`Unnamed: 0`").between(low, high - 1))
+        write_replay(part, source, rows_per_file=n + 1, order="Unnamed: 0")
+        stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+        score_stream(stream, fitted, results, checkpoint).awaitTermination()
+        follow_counters(spark, results, out, counted).awaitTermination()
+    kept = ["predictions_total", "anomalies_detected_total", "prediction_confidence_count", "model_health_status"]
+    kept += [f"prediction_confidence_bucket_le_{b}" for b in ("0.5", "0.75", "+Inf")] + ["feature_drift_" + VOLTAGE.replace("(", "_").replace(")", "_")]
+    return current_counters(spark, out).where(F.col("metric").isin(kept))

@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from linewatch.catalog.models import sent_rows, small_bundle
-from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, moving_statistics
+from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, drift_per_message, moving_statistics
+from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.sources.log import write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
+from linewatch.streaming.counters import current_counters, live_counters
 from linewatch.streaming.drift import drift_stream, latest_states
 from linewatch.streaming.replay import pace, write_replay
 from linewatch.streaming.score import score, score_stream
@@ -209,6 +211,20 @@ def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
         assert both[column].to_numpy() == pytest.approx(both[f"{column}_stream"].to_numpy(), rel=1e-9, abs=1e-9)
     gauges = spark.read.parquet(f"{results}/gauges").where("metric = 'predictions_total'").agg(F.sum("value")).first()[0]
     assert gauges == n
+
+    # The counters that follow the stream, over a restart, and over a batch that is written again.
+    out, counted = run_dir(spark, "live"), run_dir(spark, "live-checkpoint")
+    assert live_counters(spark, results, out, counted).awaitTermination(240)
+    again = spark.read.parquet(f"{results}/gauges/batch_id=1").collect()
+    spark.createDataFrame(again).write.mode("overwrite").parquet(f"{results}/gauges/batch_id=1")
+    assert live_counters(spark, results, out, counted).awaitTermination(240)
+    flagged = scored.join(drift_per_message(spark.read.parquet(f"{results}/drift")), "seq", "left")
+    whole = {r.metric: r.value for r in service_counters(flagged).unionByName(drifted_features(flagged)).collect()}
+    live = {r.metric: r.value for r in current_counters(spark, out).collect()}
+    last = {r.metric: r.value for r in spark.read.parquet(f"{results}/gauges/batch_id=2").collect()}
+    assert set(live) == set(whole)
+    for name, value in live.items():
+        assert value == pytest.approx(last[name] if name == "drifted_features_count" else whole[name])
     with pytest.raises(ValueError):
         go(run_dir(spark, "another"))
 
