@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,18 @@ def numbered_rows(grown: DataFrame, features: Sequence[str], label: str, seed: i
     return grown.withColumn(POSITION, number.otherwise(stable_hash(name, values, seed=seed))).drop("draw")
 
 
+def balanced_rows(scaled: DataFrame, features: Sequence[str], settings: Settings) -> tuple[DataFrame, str | None]:
+    """The stored table that is learned from: resampled, or as it is if resampling fails on it, and then why. The run log gets the reason."""
+    spark = scaled.sparkSession
+    try:
+        grown = smote(scaled, features, TARGET, POSITION, settings.seed)
+        return materialise(spark, numbered_rows(grown, features, TARGET, settings.seed), "balanced"), None
+    except PySparkException as e:
+        plain = scaled.select(*[F.col(quoted(c)) for c in (TARGET, *features)]).withColumns({"synthetic": F.lit(False), "draw": F.lit(None).cast("bigint")})
+        reason = e.getCondition() or type(e).__name__
+        return materialise(spark, numbered_rows(plain, features, TARGET, settings.seed), "balanced"), reason
+
+
 def training_job(
     raw: DataFrame,
     bundle_path: str,
@@ -106,8 +119,7 @@ def train(
     }
     anomaly = fit_mahalanobis(scaled, made.features, settings.contamination)
 
-    grown = smote(scaled, made.features, TARGET, POSITION, settings.seed)
-    balanced = materialise(spark, numbered_rows(grown, made.features, TARGET, settings.seed), "balanced")
+    balanced, refused = balanced_rows(scaled, made.features, settings)
     search = grid_search(balanced, made.features, TARGET, POSITION, settings)
 
     tested = predict(search.model, assemble(scaler.transform(test_part), made.features, [TARGET]))
@@ -136,6 +148,7 @@ def train(
         **groups_found,
         **targets,
         **search.best,
+        **({"resampling_refused": refused} if refused else {}),
     }
     metrics = {
         "train_size": point,

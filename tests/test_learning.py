@@ -346,6 +346,22 @@ def test_training_job(spark):
     assert set(CATEGORIES) == {"Machine_ID", "Assembly_Line_No"}
 
 
+def test_rows_stay_as_they_are_if_resampling_fails(spark, monkeypatch):
+    from linewatch.plans import training
+
+    df = classes(spark, {0: 20, 1: 12}).withColumnRenamed("row_id", training.POSITION).withColumnRenamed("label", TARGET)
+    grown, refused = training.balanced_rows(df, ["x", "y"], Settings())
+    assert refused is None and grown.count() == 40
+
+    def fails(frame, *_):
+        return frame.select(F.raise_error(F.lit("no")).cast("int").alias(TARGET), "x", "y", F.lit(True).alias("synthetic"), F.lit(0).alias("draw"))
+
+    monkeypatch.setattr(training, "smote", fails)
+    kept, refused = training.balanced_rows(df, ["x", "y"], Settings())
+    assert refused and sorted(map(tuple, kept.select(TARGET, "x", "y").collect())) == sorted(map(tuple, df.select(TARGET, "x", "y").collect()))
+    assert kept.columns == grown.columns
+
+
 def test_missing_bundle_part(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load_bundle(spark, "file:" + str(tmp_path / "none"))
