@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from linewatch.operators.drift import (
     feature_registry,
     warm_detectors,
 )
-from linewatch.operators.encode import Scaler, fit_labels, fit_one_hot, label_encode, one_hot
+from linewatch.operators.encode import Scaler, encode_categories, fit_categories, fit_labels, fit_one_hot, label_encode, one_hot
 from linewatch.operators.evaluate import classification_report, confusion, macro_recall
 from linewatch.operators.metrics import CONFIDENCE_BUCKETS, drifted_features, service_counters
 from linewatch.operators.moments import CoMoments, co_moments, merged
@@ -527,6 +529,26 @@ def dummies(spark: SparkSession, sf: str) -> DataFrame:
     return one_hot(events, fit_one_hot(events, ["event_type", "line"]))
 
 
+@query(
+    "category_vectors_o72",
+    f"""with l as (select l_orderkey, coalesce(case when l_linenumber < 7 then l_partkey end::varchar, 'nan') as part, l_suppkey::varchar as supp from lineitem),
+      fit as (select distinct 'part' as name, part as value from l where l_orderkey % 4 > 0 union select distinct 'supp', supp from l where l_orderkey % 4 > 0),
+      placed as (select name, value, row_number() over (partition by name order by {hash_sql(0, "value")}, value) - 1 as position from fit),
+      cells as (select name, value from (select 'part' as name, part as value from l union all select 'supp', supp from l)),
+      wide as (select count(*) as n from placed where name = 'part')
+      select case when p.name = 'part' then 0 else wide.n end + position as position, count(*) as n
+      from cells c join placed p on p.name = c.name and p.value = c.value, wide group by all""",
+)
+def category_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows at each position of the vectors of two columns of many values, some of which the fit has not seen."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_orderkey", "if(l_linenumber < 7, l_partkey, null) as part", "l_suppkey as supp")
+    fitted = fit_categories(lines.where("l_orderkey % 4 > 0"), ["part", "supp"])
+    vectors = encode_categories(lines, fitted)
+    total = vectors.select(vector_to_array(Summarizer.sum(F.col("categories"))).alias("sums"))
+    counted = total.select(F.posexplode("sums").alias("position", "n")).where("n > 0")
+    return counted.select(F.col("position").cast("bigint").alias("position"), F.col("n").cast("bigint").alias("n"))
+
+
 @query(
     "scale_o73",
     """with s as (select avg(l_quantity) as qm, stddev_pop(l_quantity) as qs, avg(l_tax) as tm, stddev_pop(l_tax) as ts from lineitem)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,22 +105,25 @@ def encode_categories(df: DataFrame, categories: Categories, out: str = "categor
     """One sparse 0/1 vector ``out`` in place of the source columns: the columns one after the other, each as wide as it has
     values. A value not seen at the fit is all zeros. ``keep`` leaves the source columns."""
     names = [c for c in categories.sizes if c in df.columns]
-    start, encoded = 0, df
-    for c in names:
+    # A column without a value at the fit is as wide as nothing.
+    held = {c: categories.sizes[c] for c in names if categories.sizes[c]}
+    encoded = df
+    if not held:
+        encoded = encoded.withColumn(out, array_to_vector(F.array().cast("array<double>")))
+        return encoded if keep else encoded.drop(*names)
+    for c, n in held.items():
         own = categories.values.where(F.col("name") == c).select(
-            F.col("value").alias(f"_value_{c}"), (F.col("position") + start).alias(f"_at_{c}")
+            F.col("value").alias(f"_value_{c}"), F.col("position").cast("double").alias(f"_at_{c}")
         )
         joined = category_text(F.col(quoted(c))) == F.col(quoted(f"_value_{c}"))
         encoded = encoded.join(own, joined, "left").drop(f"_value_{c}")
-        start += categories.sizes[c]
-    total = start
-    found = F.array_compact(F.array(*[F.col(quoted(f"_at_{c}")).cast("int") for c in names]))
-
-    @F.udf(VectorUDT())
-    def sparse(at):
-        return Vectors.sparse(total, sorted(at), [1.0] * len(at))
-
-    encoded = encoded.withColumn(out, sparse(found)).drop(*[f"_at_{c}" for c in names])
+    # Positions as plain names: a vector column cannot be assembled from names with dots. One beyond the last stands for a new value, and is dropped.
+    at = {f"_c{i}": F.coalesce(F.col(quoted(f"_at_{c}")), F.lit(float(n))) for i, (c, n) in enumerate(held.items())}
+    encoded = encoded.withColumns(at).drop(*[f"_at_{c}" for c in held])
+    made = [f"{c}v" for c in at]
+    widest = df.sparkSession.createDataFrame([tuple(float(n - 1) for n in held.values())], list(at))
+    model = OneHotEncoder(inputCols=list(at), outputCols=made, handleInvalid="keep", dropLast=True).fit(widest)
+    encoded = VectorAssembler(inputCols=made, outputCol=out).transform(model.transform(encoded)).drop(*at, *made)
     return encoded if keep else encoded.drop(*names)
 
 
