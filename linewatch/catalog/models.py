@@ -128,14 +128,14 @@ def oversample_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 
 BASE_SQL = "case when user_id % 3 = 0 then 0 when event_id % 7 < 3 then 1 else 2 end"
-# One label in five is another one.
-LABEL_SQL = f"(({BASE_SQL}) + case when {hash_sql(7, 'event_id')} % 5 = 0 then 1 else 0 end) % 3"
+# One label in eleven is another one.
+LABEL_SQL = f"(({BASE_SQL}) + case when {hash_sql(7, 'event_id')} % 11 = 0 then 1 else 0 end) % 3"
 DEFAULT_GRID = Settings()
 
 
 def learning_table(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str]]:
     """Whole-number features of few values, so that the bins are exact, and a label that mostly is a function of two of them."""
-    noise = (stable_hash(F.col("event_id"), seed=7) % 5 == 0).cast("int")
+    noise = (stable_hash(F.col("event_id"), seed=7) % 11 == 0).cast("int")
     df = table(spark, sf, "events").select(
         F.col("event_id").alias("row_id"),
         (F.col("user_id") % 3).cast("double").alias("line"),
