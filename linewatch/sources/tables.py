@@ -47,7 +47,7 @@ def with_row_id(df: DataFrame, fmt: str = "parquet") -> DataFrame:
 
     Parquet rows know their place in the file. In text files a row's place is
     counted within its input split. Only the number of rows per file or split is
-    summed up, one row each.
+    summed up, one row each, and goes to the tasks that read the files, so that no row is moved.
     """
     columns = [c for c in df.columns if c != ROW_ID]
     if fmt == "parquet":
@@ -72,7 +72,7 @@ def with_row_id(df: DataFrame, fmt: str = "parquet") -> DataFrame:
         "_file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     row_id = F.col("_offset") + F.col("_place") - F.col("_first")
-    return placed.join(offsets, ["_file", "_block"]).select(row_id.alias(ROW_ID), *columns)
+    return placed.join(F.broadcast(offsets), ["_file", "_block"]).select(row_id.alias(ROW_ID), *columns)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

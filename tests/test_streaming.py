@@ -71,6 +71,23 @@ def test_row_ids_follow_the_files(spark, fmt):
     assert sorted(numbered["row_id"]) == list(range(30_000))
 
 
+@pytest.mark.parametrize("fmt", ["csv", "parquet"])
+def test_row_ids_move_no_rows(spark, fmt):
+    """Even where joins are not broadcast by size: a file's rows would meet in one task."""
+    path = run_dir(spark, "unmoved")
+    spark.range(1000).select(F.col("id").cast("string").alias("Date")).coalesce(1).write.option("header", True).format(fmt).save(path)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.read.schema("Date string").option("header", True).format(fmt).load(path)
+        numbered = with_row_id(df, fmt)
+        plan = numbered._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.row_id for r in numbered.collect()) == list(range(1000))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_csv_with_nameless_first_column(spark, tmp_path):
     (tmp_path / "s.csv").write_text(",Date,Timestamp,Machine_ID,Assembly_Line_No,Downtime\n0,1/5/2024,1:2:3,M,L,\n")
     row = read_table(spark, "file:" + str(tmp_path / "s.csv"), "csv", raw_schema([])).first()
