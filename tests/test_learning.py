@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from linewatch.config import Settings
-from linewatch.operators import pivots, softmax_trees
+from linewatch.operators import neighbours, pivots, softmax_trees
 from linewatch.operators.neighbours import nearest_neighbours
 from linewatch.operators.resample import neighbour_count, smote
 from linewatch.operators.split import split_at
@@ -50,6 +50,28 @@ def test_nearest_neighbours_are_exact(spark, chunk_rows):
         assert np.allclose(mine["d2"].to_numpy().reshape(len(own), 5), brute_force(own, 5))
 
 
+def test_nearest_neighbours_store_a_row_for_each_search(spark, monkeypatch):
+    """No row for each neighbour, and no row with all bounds of its class; rows alone in the tail look through their segment first."""
+    stored = {}
+
+    def materialise(spark, df, name):
+        made = original(spark, df, name)
+        stored.setdefault(name, []).append(made)
+        return made
+
+    original = neighbours.materialise
+    monkeypatch.setattr(neighbours, "materialise", materialise)
+    rng = np.random.default_rng(3)
+    points = np.concatenate([rng.normal(0, 1, (3000, 2)), rng.normal(0, 1, (40, 2)) ** 3 * 1e4])
+    df = spark.createDataFrame([("a", i, *map(float, p)) for i, p in enumerate(points)], "label string, id bigint, x double, y double")
+    found = nearest_neighbours(df, ["x", "y"], 5, chunk_rows=16).toPandas().sort_values(["id", "rank"])
+    assert np.allclose(found["d2"].to_numpy().reshape(-1, 5), brute_force(points, 5))
+    assert stored["nearest"][0].count() == len(points)
+    assert "bounds" not in stored["cells"][0].columns
+    again = stored["again"][0]
+    assert 0 < again.count() < 100 and again.where("size(found) < 5").isEmpty()
+
+
 def recall(found, points, k):
     d2 = (points**2).sum(1)[:, None] + (points**2).sum(1)[None, :] - 2 * points @ points.T
     np.fill_diagonal(d2, np.inf)
