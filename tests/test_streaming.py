@@ -10,7 +10,7 @@ from linewatch.operators.drift import changes_of, detect_drift, detect_with_stat
 from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
-from linewatch.sources.log import write_message_log
+from linewatch.sources.log import TASK_ROWS, LogReader, write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
 from linewatch.streaming.counters import current_counters, live_counters
@@ -315,3 +315,21 @@ def test_score_stream_with_history(spark, sf):
     assert len({f[1][at] for f in found[0]}) > 10
     with pytest.raises(ValueError):
         score_stream(stream, bundle, results, "x", history="some")
+
+
+def test_a_task_reads_many_files_of_a_log(spark):
+    """A task costs more than a small file: stretches of files, cut where the run before ended, and every row once."""
+    path = run_dir(spark, "many")
+    df = spark.range(2_000).selectExpr("id as row_id", "concat('M', id % 5) as Machine_ID")
+    write_message_log(df, path, partitions=2, interval_ms=10, rows_per_file=16)
+    reader = LogReader({"path": path, "now_ms": str(10**9)})
+    start, end = {"0": 37, "1": 0}, reader.latestOffset()
+    assert sum(end.values()) == 2_000
+    parts = reader.partitions(start, end)
+    assert len(parts) == 2
+    read = [(r["partition"], r["offset"]) for p in parts for b in reader.read(p) for r in b.to_pylist()]
+    assert read == [(p, o) for p in (0, 1) for o in range(start[str(p)], end[str(p)])]
+    reader.shape["counts"] = {"0": 10 * TASK_ROWS}
+    parts = reader.partitions({"0": 37}, {"0": 10 * TASK_ROWS})
+    assert len(parts) <= 12 and all(p.high - p.low <= TASK_ROWS for p in parts)
+    assert [p.low for p in parts] == [37, *[p.high for p in parts[:-1]]] and parts[-1].high == 10 * TASK_ROWS
