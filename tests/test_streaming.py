@@ -10,6 +10,7 @@ from linewatch.operators.drift import changes_of, detect_drift, detect_with_stat
 from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
+from linewatch.catalog.sources import log_files
 from linewatch.sources.log import TASK_ROWS, LogReader, write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
@@ -333,3 +334,9 @@ def test_a_task_reads_many_files_of_a_log(spark):
     parts = reader.partitions({"0": 37}, {"0": 10 * TASK_ROWS})
     assert len(parts) <= 12 and all(p.high - p.low <= TASK_ROWS for p in parts)
     assert [p.low for p in parts] == [37, *[p.high for p in parts[:-1]]] and parts[-1].high == 10 * TASK_ROWS
+
+
+def test_log_files_are_read_once(spark, sf):
+    """Each holds 100 rows: a second pass for the counts would open all of them again."""
+    plan = log_files(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count("FileScan csv") == 1
