@@ -5,12 +5,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from linewatch.catalog.models import sent_rows, small_bundle
+from linewatch.catalog.models import sent_messages, sent_rows, small_bundle
 from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, drift_per_message, moving_statistics
 from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.catalog.sources import log_files
+from linewatch.streaming import score as score_module
 from linewatch.sources.log import TASK_ROWS, LogReader, write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
@@ -340,3 +341,12 @@ def test_log_files_are_read_once(spark, sf):
     """Each holds 100 rows: a second pass for the counts would open all of them again."""
     plan = log_files(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[0].count("FileScan csv") == 1
+
+
+def test_messages_of_a_table_are_dealt_out_by_number(spark, sf, monkeypatch):
+    """Short messages would fill a task by the million if it went by bytes."""
+    monkeypatch.setattr(score_module, "TASK_MESSAGES", 100)
+    scored = score_module.score(sent_messages(spark, sf), small_bundle(spark, sf))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    good = sent_messages(spark, sf).where("value like '%\"Machine_ID\":\"M%'").count()
+    assert "RoundRobinPartitioning(11)" in plan and scored.count() == good
