@@ -51,13 +51,17 @@ def kafka_options(
     }
 
 
+#: How long the log of a file source keeps parts that a later part holds whole. Spark keeps them for ten minutes, and each micro-batch lists all
+#: that are kept: thousands of short micro-batches would get slower with each one. A restart needs none of them.
+LOG_DELAY = {"spark.sql.streaming.fileSource.log.cleanupDelay": "1s"}
+
 #: Columns that order the messages of a log, where the source has them.
 SOURCE_ORDER = ["sent_at", "partition", "offset"]
 
 
 def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
     """A stream of ``value`` text from ``{"kind": "kafka", ...options}`` or ``{"kind": "log", "path": ...}`` (a stored log), with the message's timestamp, partition and
-    offset, or ``{"kind": "files", "path": ..., "files_per_trigger": ...}``. A broker's log must come with
+    offset, or ``{"kind": "files", "path": ..., "files_per_trigger": ...}``, which shortens the log of file sources in a session that sets no delay of its own. A broker's log must come with
     ``maxOffsetsPerTrigger``, which bounds a micro-batch; a stored one is paced by its interval."""
     options = {k: v for k, v in config.items() if k not in ("kind", "path", "files_per_trigger")}
     if config["kind"] == "kafka":
@@ -72,6 +76,9 @@ def message_source(spark: SparkSession, config: Mapping[str, str]) -> DataFrame:
 
         return read_message_log(spark, config["path"], **options).select("value", *SOURCE_ORDER)
     if config["kind"] == "files":
+        for key, value in LOG_DELAY.items():
+            if spark.conf.get(key, None) is None:
+                spark.conf.set(key, value)
         per_trigger = str(config.get("files_per_trigger", 1))
         reader = spark.readStream.options(**options).option("maxFilesPerTrigger", per_trigger)
         return reader.text(config["path"])

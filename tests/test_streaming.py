@@ -1,6 +1,7 @@
 """Readers, messages, and streaming jobs, including restarts."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +118,25 @@ def test_replay_is_one_write_in_order(spark):
     assert seen == [list(range(s, s + 100)) for s in range(5, 1105, 100)]
 
 
+def test_log_of_a_file_source_stays_short(spark):
+    source, checkpoint, kept = run_dir(spark, "in"), run_dir(spark, "c"), "spark.sql.streaming.minBatchesToRetain"
+    write_replay(spark.range(60).selectExpr("id as row_id"), source, rows_per_file=1)
+    seen = []
+    spark.conf.set(kept, "2")
+    try:
+        for _ in range(2):
+            stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+            query = stream.writeStream.foreachBatch(lambda b, i: seen.append((i, json.loads(b.first().value)["row_id"])))
+            assert query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination(120)
+            # What has been read stays known to a restart.
+            write_replay(spark.range(60, 62).selectExpr("id as row_id"), source, rows_per_file=1)
+    finally:
+        spark.conf.unset(kept)
+    assert seen == [(i, i) for i in range(62)]
+    log = [p for p in (Path(checkpoint.removeprefix("file:")) / "sources" / "0").iterdir() if not p.name.startswith(".")]
+    assert len(log) < 45
+
+
 def test_drift_stream_with_restart(spark):
     df = spark.range(600).selectExpr("id as row_id", "id % 2 as m", "case when id < 300 then 0D else 40D end + id % 10 as x")
     source, path, checkpoint = (run_dir(spark, n) for n in ("in", "out", "check"))
