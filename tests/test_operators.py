@@ -20,7 +20,7 @@ from linewatch.operators.sketches import merge_sketches, percentile_sketches, ra
 from linewatch.operators.moments import CoMoments, co_moments, merged
 from linewatch.operators.split import raw_split_point, sample_rows, stratified_folds
 from linewatch.operators.split import test_split_point as split_point
-from linewatch.operators.stats import mean_and_covariance, reference_statistics
+from linewatch.operators.stats import fit_scaler, mean_and_covariance, reference_statistics
 from linewatch.plans.features import serving_features
 from linewatch.session import run_dir
 
@@ -298,3 +298,15 @@ def test_stored_tables_lie_in_one_folder_and_can_go(spark):
     folder = run_dir(spark, "x").rsplit("/", 1)[0]
     assert all(f.startswith(folder.replace("file:", "file://")) for f in table.inputFiles())
     assert spark.sparkContext.applicationId in folder
+
+
+def test_statistics_of_many_features_are_one_narrow_aggregate(spark):
+    names = [f"f({i})" for i in range(40)]
+    df = spark.range(5).select(*[F.when(F.col("id") < 4, F.col("id") * i).cast("double").alias(n) for i, n in enumerate(names)])
+    for made in (fit_scaler(df, names), reference_statistics(df, names)):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("stddev_pop(") == 1
+        rows = {r.feature: r for r in made.collect()}
+        assert len(rows) == 40 and all(rows[n].mean == 1.5 * i for i, n in enumerate(names))
+        assert all(abs(rows[n].std - max(1.25**0.5 * i, 1e-6)) < 1e-9 or i == 0 for i, n in enumerate(names))
+    assert [tuple(r)[1:] for r in fit_scaler(df.where("false"), names[:2]).collect()] == [(None, None)] * 2
+    assert [tuple(r)[1:] for r in reference_statistics(df.where("false"), names[:2]).collect()] == [(0.0, 1.0, 0.0, 1.0, 0)] * 2

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from linewatch.catalog.models import sent_messages, sent_rows, small_bundle
 from linewatch.operators.drift import changes_of, detect_drift, detect_with_states, drift_per_message, moving_statistics
 from linewatch.operators.metrics import drifted_features, service_counters
+from linewatch.plans.features import serving_features
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir
 from linewatch.catalog.sources import log_files
@@ -137,6 +138,18 @@ def test_log_of_a_file_source_stays_short(spark):
     assert len(log) < 45
 
 
+def test_a_message_is_parsed_and_its_numbers_are_read_once(spark):
+    lines = ['{"Machine_ID": "M", "Assembly_Line_No": "L", "a": "1.5", "b": "inf", "x": 1}', '{"Machine_ID": "M", "Assembly_Line_No": "L", "a": "NaN"}']
+    decoded = decode(spark.createDataFrame([(v,) for v in lines], "value string"), ["a", "b"])
+    flat = decoded.select("data.a", "data.b", "extra")
+    made = serving_features(flat, ["a", "b"], {}, ["a", "a_lag1", "a_mean5", "a_std5", "b", "b_lag1", "b_mean5"], ["extra"])
+    assert made.collect() == [({"x": "1"}, 1.5, 1.5, 1.5, 0.0, 0.0, 0.0, 0.0), (None, *[0.0] * 7)]
+    parsed = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert parsed.count("from_json(MapType") == 1
+    numbers = serving_features(spark.createDataFrame([("1", "2")], "a string, b string"), ["a", "b"], {}, ["a", "a_lag1", "a_mean5", "b"])
+    assert numbers._jdf.queryExecution().analyzed().toString().count("RLIKE") == 2
+
+
 def test_drift_stream_with_restart(spark):
     df = spark.range(600).selectExpr("id as row_id", "id % 2 as m", "case when id < 300 then 0D else 40D end + id % 10 as x")
     source, path, checkpoint = (run_dir(spark, n) for n in ("in", "out", "check"))
