@@ -11,7 +11,7 @@ from linewatch.operators.drift import changes_of, detect_drift, detect_with_stat
 from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.plans.features import serving_features
 from linewatch.schema import raw_schema
-from linewatch.session import run_dir
+from linewatch.session import run_dir, together
 from linewatch.catalog.sources import log_files
 from linewatch.streaming import score as score_module
 from linewatch.sources.log import TASK_ROWS, LogReader, write_message_log
@@ -170,6 +170,39 @@ def test_drift_stream_with_restart(spark):
     assert last["count"] == 60 and last.seen == 600
 
 
+def test_state_of_a_drift_stream_has_no_more_parts_than_cores(spark):
+    """Each part is a task of every micro-batch, whatever a batch job's shuffles have."""
+    df = spark.range(200).selectExpr("id as row_id", "id % 2 as m", "if(id < 100, 0D, 40D) as x")
+    source, name = run_dir(spark, "in"), "spark.sql.shuffle.partitions"
+    write_replay(df, source, rows_per_file=100)
+    before = spark.conf.get(name)
+    found = []
+    for shuffled, given in (("21", None), ("3", None), ("21", 5)):
+        path, checkpoint = run_dir(spark, "out"), run_dir(spark, "check")
+        lines = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+        parsed = lines.select(F.from_json("value", "row_id bigint, m bigint, x double").alias("m")).select("m.*")
+        spark.conf.set(name, shuffled)
+        try:
+            query = drift_stream(parsed, ["x"], path, checkpoint, by=["m"], every=10, partitions=given)
+            assert spark.conf.get(name) == shuffled
+        finally:
+            spark.conf.set(name, before)
+        assert query.awaitTermination(240)
+        found.append(len([p for p in (Path(checkpoint.removeprefix("file:")) / "state" / "0").iterdir() if p.name.isdigit()]))
+        assert spark.read.parquet(f"{path}/changes").select("m", "feature").distinct().count() == 2
+        assert spark.read.parquet(f"{path}/stats").where("batch_id = 1").first().seen == 200
+    assert found == [spark.sparkContext.defaultParallelism, 3, 5]
+
+
+def test_steps_side_by_side(spark):
+    """All end before the first error is raised."""
+    done = []
+    assert together(spark, lambda: spark.range(3).count(), lambda: "b") == [3, "b"]
+    with pytest.raises(ValueError, match="one"):
+        together(spark, lambda: int("one"), lambda: done.append(spark.range(5).count()))
+    assert done == [5]
+
+
 def test_drift_stream_starts_warm_and_takes_new_features(spark):
     """A warmed detector goes on; a feature that joins at a restart starts anew, as do groups that turn up; what is left starts a stored table."""
     from linewatch.operators.drift import states_of
