@@ -14,6 +14,7 @@ from linewatch.operators.ordering import (
     dense_index,
     drop_repeats,
     halo_select,
+    ordered_index,
     rising_edge,
 )
 from linewatch.operators.temporal import SensorFit, add_temporal_features, create_future_target, fit_sensors
@@ -206,3 +207,13 @@ def test_scan_reads_only_what_is_used(spark, tmp_path):
     frame(spark).write.parquet(path)
     plan = plan_of(create_future_target(spark.read.parquet(path)).select("row_id", TARGET))
     assert "ReadSchema: struct<row_id:bigint,Downtime_Group:int>" in plan
+
+
+@pytest.mark.parametrize("rows_per_part", [40, 1_000])
+def test_ordered_index_with_a_known_number_of_rows(spark, rows_per_part):
+    """One part is numbered by a window, several as ever; nulls come first in both."""
+    df = spark.range(N).selectExpr("id", "if(id % 9 = 0, null, id % 5) as a", "cast(id * 7 % 300 as string) as b")
+    got = ordered_index(df, ["a", "b"], "at", rows_per_part, rows=N).orderBy("at").collect()
+    assert [r["at"] for r in got] == list(range(N)) and got[0].asDict().keys() == {"id", "a", "b", "at"}
+    key = lambda r: (r.a is not None, r.a or 0, r.b)
+    assert [key(r) for r in got] == sorted(map(key, df.collect()))

@@ -314,6 +314,27 @@ def test_score_stream_survives_odd_messages_and_a_restart(spark, sf):
         go(run_dir(spark, "another"))
 
 
+def test_a_batch_of_the_scoring_stream_is_numbered_once(spark, sf, monkeypatch):
+    """The projection is put together once for all batches, and only the results are stored: numbers of rows are not made again for the detectors."""
+    bundle = small_bundle(spark, sf)
+    source, results = run_dir(spark, "in"), run_dir(spark, "results")
+    write_replay(sent_rows(spark, sf).where("`Unnamed: 0` < 300"), source, 150, "Unnamed: 0")
+    calls, plain = [], score_module.decode
+    monkeypatch.setattr(score_module, "decode", lambda *given: calls.append(1) or plain(*given))
+    kept = Path(results.removeprefix("file:")).parent
+    before = {p.name for p in kept.iterdir()}
+    stream = message_source(spark, {"kind": "files", "path": source, "files_per_trigger": 1})
+    assert score_stream(stream, bundle, results, run_dir(spark, "check")).awaitTermination(400)
+    assert len(calls) == 1
+    assert not [p.name for p in kept.iterdir() if p.name not in before and p.name.startswith(("sorted", "placed"))]
+    scored = spark.read.parquet(f"{results}/scored")
+    rows = scored.orderBy("seq").select("batch_id", "seq", F.col("data.`Unnamed: 0`").cast("bigint").alias("sent")).collect()
+    assert [r.seq for r in rows] == list(range(len(rows))) and [r.sent for r in rows] == sorted(r.sent for r in rows)
+    assert {r.batch_id for r in rows} == {0, 1}
+    kinds = {"arrived", "scored", "detected", "states", "drift", "stats", "gauges", "predictions", "log", "dead"}
+    assert kinds <= {p.name for p in Path(results.removeprefix("file:")).iterdir()}
+
+
 def test_message_log_is_read_by_offsets(spark):
     """What the clock has published, then the rest; empty partitions; rows without a key; a log that has not begun."""
     df = spark.range(500).selectExpr("id * 3 as row_id", "if(id % 7 = 0, null, concat('M', id % 5)) as Machine_ID", "cast(id as double) as a", "'x' as Downtime")
