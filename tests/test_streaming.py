@@ -12,14 +12,14 @@ from linewatch.operators.metrics import drifted_features, service_counters
 from linewatch.plans.features import serving_features
 from linewatch.schema import raw_schema
 from linewatch.session import run_dir, together
-from linewatch.catalog.sources import log_files
+from linewatch.catalog.sources import log_files, stored
 from linewatch.streaming import score as score_module
 from linewatch.sources.log import TASK_ROWS, LogReader, write_message_log
 from linewatch.sources.messages import dead_letters, decode, good, kafka_options, message_source, to_messages
 from linewatch.sources.tables import read_first_available, read_table, with_row_id
 from linewatch.streaming.counters import current_counters, live_counters
 from linewatch.streaming.drift import drift_stream, latest_states
-from linewatch.streaming.replay import pace, write_replay
+from linewatch.streaming.replay import pace, replay, write_replay
 from linewatch.streaming.score import score, score_stream
 
 
@@ -138,6 +138,19 @@ def test_log_of_a_file_source_stays_short(spark):
     assert len(log) < 45
 
 
+def test_a_stored_batch_is_its_rows_and_no_marker(spark):
+    """One folder and one file for each short micro-batch; what is read back are all rows with their batch."""
+    source = run_dir(spark, "in")
+    write_replay(spark.range(50).selectExpr("id as row_id"), source, rows_per_file=10)
+    kept = Path(source.removeprefix("file:")).parent
+    back = stored(replay(spark, source), "markless")
+    (path,) = kept.glob("markless-*/batch=0/..")
+    assert sorted(p.name for p in path.iterdir()) == [f"batch={i}" for i in range(5)]
+    assert not list(path.glob("*/_*")) and len(list(path.glob("*/part-*"))) == 5
+    rows = back.select(F.get_json_object("value", "$.row_id").cast("int").alias("row_id"), "batch").collect()
+    assert sorted((r.row_id, r.batch) for r in rows) == [(i, i // 10) for i in range(50)]
+
+
 def test_a_message_is_parsed_and_its_numbers_are_read_once(spark):
     lines = ['{"Machine_ID": "M", "Assembly_Line_No": "L", "a": "1.5", "b": "inf", "x": 1}', '{"Machine_ID": "M", "Assembly_Line_No": "L", "a": "NaN"}']
     decoded = decode(spark.createDataFrame([(v,) for v in lines], "value string"), ["a", "b"])
